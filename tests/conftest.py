@@ -1,9 +1,14 @@
 import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import SparkSession
 
+# Collected timestamps come back in the process's zone.
+os.environ["TZ"] = "Asia/Ho_Chi_Minh"
+time.tzset()
+
 DATA = os.environ.get("TILLFLOW_TEST_DATA", "/root/testdata")
 
 

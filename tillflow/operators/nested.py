@@ -11,21 +11,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TOPPING = T.StructType.fromDDL("item_name string, price double, quantity double, unit_id string")
+from tillflow.schemas import columns
+
+TOPPING = columns("item_name string, price double, quantity double, unit_id string")
 ITEM = T.StructType(TOPPING.fields + [T.StructField("toppings", T.ArrayType(TOPPING))])
-GUEST = T.StructType.fromDDL(
+GUEST = columns(
     "peo_count int, customer_phone string, customer_name string, Membership_Type_Name string"
 )
 CHANGE_DATA = T.StructType(
     [
-        *T.StructType.fromDDL(
+        *columns(
             "employee_name string, store_uid string, tran_id string, origin_tran_id string, tran_no string"
         ).fields,
-        T.StructField("extra_data", T.StructType.fromDDL("message_modify_table string")),
+        T.StructField("extra_data", columns("message_modify_table string")),
         T.StructField("sale_detail", T.ArrayType(ITEM)),
     ]
 )
-REMOVED = T.ArrayType(T.StructType.fromDDL("item_name string, quantity double, unit_id string, note string"))
+REMOVED = T.ArrayType(columns("item_name string, quantity double, unit_id string, note string"))
 
 
 @F.pandas_udf(T.StringType())
