@@ -57,12 +57,12 @@ def resolve(links: DataFrame, src: str, dst: str, limits: GroupLimits | None = N
         if count == 0 or (count == still_open and followed >= count):
             break
         still_open = count
-    done = nodes.where("ended").select(F.col("id").alias(src), F.col("to").alias(dst))
-    if count == 0:
-        return done
-    on_cycle = nodes.select(F.col("id").alias("to"), F.col("low").alias(dst))
-    caught = lookup(nodes.where(~F.col("ended")).select(F.col("id").alias(src), "to"), on_cycle, ["to"], "inner", limits)
-    return done.unionByName(caught.select(src, dst))
+    done = nodes.where("ended").select("id", "to")
+    if count:
+        on_cycle = nodes.select(F.col("id").alias("to"), F.col("low").alias("_smallest"))
+        caught = lookup(nodes.where(~F.col("ended")).select("id", "to"), on_cycle, ["to"], "inner", limits)
+        done = done.unionByName(caught.select("id", F.col("_smallest").alias("to")))
+    return done.select(F.col("id").alias(src), F.col("to").alias(dst))
 
 
 def with_end(df: DataFrame, id_col: str, links: DataFrame, out: str, limits: GroupLimits | None = None) -> DataFrame:
