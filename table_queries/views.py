@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions import scalars as s
+from tillflow.operators.groups import lookup
 from tillflow.options import CHANGE, MERGE, SPLIT
 
 # Every column of a line; no two lines agree in all of them.
@@ -26,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their order and part."""
     line, part, order = (table(spark, sf_dir, n) for n in ("lineitem", "part", "orders"))
-    return line.join(order, line.l_orderkey == order.o_orderkey).join(part, line.l_partkey == part.p_partkey)
+    line = lookup(line, order.withColumn("l_orderkey", F.col("o_orderkey")), ["l_orderkey"], "inner", nulls_match=False)
+    return lookup(line, part.withColumnRenamed("p_partkey", "l_partkey"), ["l_partkey"], "inner", nulls_match=False)
 
 
 def phone(key: str):

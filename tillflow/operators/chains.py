@@ -42,7 +42,7 @@ def resolve(links: DataFrame, src: str, dst: str, limits: GroupLimits | None = N
     while True:
         # A row is done once its target has no link of its own; only the others join again.
         step = nodes.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("low").alias("_low"))
-        moved = lookup(nodes.where(~F.col("ended")), step, ["to"], "left", limits).select(
+        moved = lookup(nodes.where(~F.col("ended")), step, ["to"], "left", limits, nulls_match=False).select(
             "id",
             F.coalesce("_to", "to").alias("to"),
             F.least("low", "_low").alias("low"),
@@ -60,7 +60,7 @@ def resolve(links: DataFrame, src: str, dst: str, limits: GroupLimits | None = N
     done = nodes.where("ended").select("id", "to")
     if count:
         on_cycle = nodes.select(F.col("id").alias("to"), F.col("low").alias("_smallest"))
-        caught = lookup(nodes.where(~F.col("ended")).select("id", "to"), on_cycle, ["to"], "inner", limits)
+        caught = lookup(nodes.where(~F.col("ended")).select("id", "to"), on_cycle, ["to"], "inner", limits, nulls_match=False)
         done = done.unionByName(caught.select("id", F.col("_smallest").alias("to")))
     return done.select(F.col("id").alias(src), F.col("to").alias(dst))
 
@@ -69,7 +69,7 @@ def with_end(df: DataFrame, id_col: str, links: DataFrame, out: str, limits: Gro
     """Add ``out``: the end of the chain that starts at ``id_col``, or the id itself."""
     src, dst = links.columns
     ends = resolve(links, src, dst, limits).select(F.col(src).alias(id_col), F.col(dst).alias("_end"))
-    joined = lookup(df, ends, [id_col], "left", limits)
+    joined = lookup(df, ends, [id_col], "left", limits, nulls_match=False)
     return joined.withColumn(out, F.coalesce("_end", id_col)).drop("_end")
 
 

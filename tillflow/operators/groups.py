@@ -52,8 +52,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limits: GroupLimits) -> dict[in
     return {r["k"]: math.ceil(r["count"] / limits.sample_fraction) for r in rows}
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def null_safe_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, nulls_match: bool = True
+) -> DataFrame:
     """Equi join on equally named columns in which null matches null."""
+    if not nulls_match:
+        return left.join(right, list(on), how)
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on])
     joined = left.join(right, same, how)
@@ -61,9 +65,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", limits: GroupLimits | None = None
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    limits: GroupLimits | None = None,
+    nulls_match: bool = True,
 ) -> DataFrame:
-    """Join ``left``, in which a key may be hot, to ``right``, null keys matching null.
+    """Join ``left``, in which a key may be hot, to ``right``; null keys match null unless told not to.
 
     ``how`` keeps or filters left rows: left, inner, left_semi or left_anti. Left rows of
     a hot key are spread over salts and the right rows of that key repeated once per salt.
@@ -71,7 +80,7 @@ def lookup(
     limits = limits or GroupLimits()
     hot = hot_keys(left, on, limits)
     if not hot:
-        return null_safe_join(left, right, on, how)
+        return null_safe_join(left, right, on, how, nulls_match)
     cut = max(limits.max_rows, math.ceil(sum(hot.values()) / limits.max_keys))
     salts = left.sparkSession.createDataFrame(
         [(k, math.ceil(n / cut)) for k, n in hot.items()], f"{KEY_HASH} bigint, _salts int"
@@ -86,7 +95,7 @@ def lookup(
     left = with_salts(left).withColumn(SALT, F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_salts")
     copies = F.sequence(F.lit(0).cast("bigint"), (F.coalesce("_salts", F.lit(1)) - 1).cast("bigint"))
     right = with_salts(right).withColumn(SALT, F.explode(copies)).drop("_salts")
-    return null_safe_join(left, right, [*on, SALT], how).drop(SALT)
+    return null_safe_join(left, right, [*on, SALT], how, nulls_match).drop(SALT)
 
 
 def order_key(order: Sequence[str]) -> Column:

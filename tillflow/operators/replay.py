@@ -321,7 +321,7 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
             "_root_id"
         )
     )
-    lines = lookup(lines, roots, ["root"], "left", limits)
+    lines = lookup(lines, roots, ["root"], "left", limits, nulls_match=False)
     lines = lines.withColumn("is_root", F.coalesce(F.col("id") == F.col("_root_id"), F.lit(False))).drop("_root_id")
 
     moves, events = _stock_moves(lines, order, limits)
@@ -390,6 +390,6 @@ def _results(
         place().alias("emit"),
     )
     taken = pieces.where(F.col("piece") == TAKEN).drop("id", "number")
-    taken = lookup(taken, events, ["event_seq", "event_line"], "inner", limits).withColumn("at_end", F.lit(0))
+    taken = lookup(taken, events, ["event_seq", "event_line"], "inner", limits, nulls_match=False).withColumn("at_end", F.lit(0))
     out = [c for c in passed_on.columns if c not in ("is_root", "child_id", "child_no")]
     return passed_on.select(*out).unionByName(kept.select(*out)).unionByName(taken.select(*out))

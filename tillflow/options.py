@@ -56,7 +56,7 @@ class GroupLimits:
     max_keys: int = 4096
     sample_fraction: float = 0.001
     samples_per_block: int = 32
-    small_input_bytes: int = 256 << 20
+    small_input_bytes: int = 64 << 20
 
 
 @dataclass(frozen=True)

@@ -30,14 +30,14 @@ def build_session(app_name: str = "tillflow", time_zone: str = TIME_ZONE, **conf
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in spark.checkpoint.dir."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tillflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tillflow-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
