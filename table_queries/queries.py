@@ -23,6 +23,7 @@ from tillflow.operators.replay import replay_splits
 from tillflow.options import CHANGE, LOG_TYPES, MERGE, NO_TOPPING, SPLIT, Options
 from tillflow.plans import daily, invoices, kpi, order_log, reports
 from tillflow.schemas import HEADINGS
+from tillflow.session import written
 from tillflow.sinks.history import appended
 from tillflow.sources import pages
 from tillflow.sources.snapshots import in_day, latest_day
@@ -513,6 +514,11 @@ def order_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "number", "item", "qty", "price", "employee", "log_type", "date", "week", "mark", "seq", "branch")
 
 
+def staff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staff orders, written once because the figures on top read them several times."""
+    return written(kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir)))
+
+
 @register
 def staff_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir))
@@ -521,14 +527,12 @@ def staff_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def identified_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir))
-    return kpi.identified_rate(orders, OPTIONS.identified_classes)
+    return kpi.identified_rate(staff_orders(spark, sf_dir), OPTIONS.identified_classes)
 
 
 @register
 def staff_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir))
-    return kpi.staff_kpi(orders, OPTIONS.identified_classes)
+    return kpi.staff_kpi(staff_orders(spark, sf_dir), OPTIONS.identified_classes)
 
 
 @register
@@ -610,8 +614,7 @@ def staff_checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def cancel_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir))
-    return reports.cancel_outliers(orders, 1.0)
+    return reports.cancel_outliers(staff_orders(spark, sf_dir), 1.0)
 
 
 @register

@@ -14,13 +14,16 @@ SCHEMA = (
 T0 = dt.datetime(2024, 3, 1, 10, 0)
 
 
-def simulate(rows):
-    """Model: walk one family in order with one list of [line, units] and pop from its end."""
+def simulate(rows, in_order=False):
+    """Model: walk one family in order with one list of [line, units] and pop from its end.
+
+    ``in_order`` keeps the results in the order in which they arise.
+    """
     out = []
     families = {}
     for r in rows:
         families.setdefault(r["root"], []).append(r)
-    for root, log in families.items():
+    for root, log in sorted(families.items()):
         log.sort(key=lambda r: (r["time"], r["seq"], r["line_no"]))
         stock, done = [], set()
         named = [r["id"] for r in log if root in r["id"]]
@@ -51,13 +54,16 @@ def simulate(rows):
                 done.add(event)
                 same = [x for x in log if x["log_type"] == "SALE_SPLIT_ORDER"
                         and (x["time"], x["child_id"], x["child_no"]) == event]
+                gone = []
                 for item in {e[0]["item"] for e in stock}:
                     stays = abs(sum(x["qty"] for x in same if x["item"] == item))
                     total = sum(e[1] for e in stock if e[0]["item"] == item)
-                    for line, n in take(item, max(0, total - stays)):
-                        out.append((r["child_id"], r["child_no"], line["seq"], n))
+                    gone += take(item, max(0, total - stays))
+                place = [id(e[0]) for e in stock]
+                for line, n in sorted(gone, key=lambda g: place.index(id(g[0]))):
+                    out.append((r["child_id"], r["child_no"], line["seq"], n))
         out += [(e[0]["id"], e[0]["number"], e[0]["seq"], e[1]) for e in stock if e[1] > 0]
-    return sorted(out)
+    return out if in_order else sorted(out)
 
 
 def run(spark, rows, limits=None):

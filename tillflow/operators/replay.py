@@ -309,8 +309,6 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
     """
     limits = limits or GroupLimits()
     lines = lines.where(F.col("root").isNotNull())
-    if input_bytes(lines) > limits.small_input_bytes:
-        lines = written(lines)
     position = [*order, "seq", "line_no"]
     at = order_key(position)
 
@@ -323,6 +321,8 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
     )
     lines = lookup(lines, roots, ["root"], "left", limits, nulls_match=False)
     lines = lines.withColumn("is_root", F.coalesce(F.col("id") == F.col("_root_id"), F.lit(False))).drop("_root_id")
+    # Read by several steps below, so it is computed once.
+    lines = written(lines)
 
     moves, events = _stock_moves(lines, order, limits)
     if input_bytes(moves) > limits.small_input_bytes:

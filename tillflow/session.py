@@ -55,4 +55,6 @@ def written(df: DataFrame) -> DataFrame:
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the relations ``df`` reads, from the optimizer's statistics; runs no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    # A relation read several times counts once.
+    return sum({leaf.semanticHash(): int(str(leaf.stats().sizeInBytes())) for leaf in leaves}.values())
