@@ -23,7 +23,7 @@ from tillflow.operators.replay import replay_splits
 from tillflow.options import CHANGE, LOG_TYPES, MERGE, NO_TOPPING, SPLIT, Options
 from tillflow.plans import daily, invoices, kpi, order_log, reports
 from tillflow.schemas import HEADINGS
-from tillflow.session import written
+from tillflow.session import settled, written
 from tillflow.sinks.history import appended
 from tillflow.sources import pages
 from tillflow.sources.snapshots import in_day, latest_day
@@ -386,11 +386,10 @@ def fill_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("bought"),
         F.when(F.col("value") > 40, F.col("event_type")).alias("large"),
-    )
-    both = fill(df, ["user_id"], ["ts", "event_id"], ["bought", "large"])
-    later = fill(df, ["user_id"], ["ts", "event_id"], ["bought"], forward=False)
-    later = later.select("event_id", F.col("bought").alias("next_bought"))
-    return both.join(later, "event_id").select("event_id", "bought", "large", "next_bought")
+    ).withColumn("next_bought", F.col("bought"))
+    df = fill(df, ["user_id"], ["ts", "event_id"], ["next_bought"], forward=False)
+    df = fill(df, ["user_id"], ["ts", "event_id"], ["bought", "large"])
+    return df.select("event_id", "bought", "large", "next_bought")
 
 
 def signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +412,7 @@ def lifo_netting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def occurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines find the same line of the bill by item, quantity and occurrence; else facts of the bill."""
-    df = signed_lines(spark, sf_dir).withColumn("qty", F.abs("qty"))
+    df = settled(signed_lines(spark, sf_dir).withColumn("qty", F.abs("qty")), OPTIONS.limits)
     log = occurrence_number(df.where(F.col("l_linestatus") == "O"), ["id", "item", "qty"], NET_ORDER)
     billed = df.where(F.col("l_returnflag") != "R")
     billed = occurrence_number(billed, ["id", "item", "qty"], NET_ORDER).select(
@@ -515,13 +514,14 @@ def order_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staff_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staff orders, written once because the figures on top read them several times."""
-    return written(kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir)))
+    """Staff orders, written once, because the figures on top read them several times."""
+    orders = kpi.staff_order(v.sales(spark, sf_dir, items=False), v.cancelled(spark, sf_dir))
+    return written(orders)
 
 
 @register
 def staff_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = kpi.staff_order(v.sales(spark, sf_dir), v.cancelled(spark, sf_dir))
+    out = kpi.staff_order(v.sales(spark, sf_dir, items=False), v.cancelled(spark, sf_dir))
     return out.withColumn("revenue", s.money(F.col("revenue")))
 
 
@@ -609,7 +609,7 @@ def preferred_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def staff_checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.staff_checkouts(v.sales(spark, sf_dir))
+    return reports.staff_checkouts(v.sales(spark, sf_dir, items=False))
 
 
 @register

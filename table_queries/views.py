@@ -24,10 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def billed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order."""
+    line, order = (table(spark, sf_dir, n) for n in ("lineitem", "orders"))
+    order = order.withColumn("l_orderkey", F.col("o_orderkey"))
+    return lookup(line, order, ["l_orderkey"], "inner", nulls_match=False)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their order and part."""
-    line, part, order = (table(spark, sf_dir, n) for n in ("lineitem", "part", "orders"))
-    line = lookup(line, order.withColumn("l_orderkey", F.col("o_orderkey")), ["l_orderkey"], "inner", nulls_match=False)
+    line, part = billed_lines(spark, sf_dir), table(spark, sf_dir, "part")
     return lookup(line, part.withColumnRenamed("p_partkey", "l_partkey"), ["l_partkey"], "inner", nulls_match=False)
 
 
@@ -46,9 +52,10 @@ def tier(key: str):
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines as final sales lines."""
-    return lines(spark, sf_dir).select(
+def sales(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFrame:
+    """Lines as final sales lines; without ``items`` the part table is not read."""
+    df = lines(spark, sf_dir) if items else billed_lines(spark, sf_dir)
+    return df.select(
         *[c.alias(n) for n, c in s.calendar(F.col("o_orderdate")).items()],
         F.concat(F.lit("S"), F.col("o_custkey") % 5).alias("store"),
         F.concat(F.lit("N"), F.col("l_orderkey")).alias("number"),
@@ -56,8 +63,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         s.customer_class(phone("o_custkey"), tier("o_custkey")).alias("customer_class"),
         F.concat(F.lit("E"), F.col("l_suppkey")).alias("employee"),
         phone("o_custkey").alias("phone"),
-        F.col("p_name").alias("item"),
-        F.col("p_type").alias("category"),
+        *([F.col("p_name").alias("item"), F.col("p_type").alias("category")] if items else []),
         F.col("l_quantity").alias("qty"),
         F.col("l_extendedprice").alias("revenue"),
         F.col("l_returnflag").alias("flag"),
@@ -66,7 +72,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cancelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines as removed items."""
-    return sales(spark, sf_dir).where(F.col("flag") == "R").withColumn("reason", F.col("category"))
+    return sales(spark, sf_dir, items=False).where(F.col("flag") == "R")
 
 
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:

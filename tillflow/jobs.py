@@ -15,7 +15,7 @@ from tillflow.plans.invoices import invoice_lines
 from tillflow.plans.kpi import StaffTables, staff_tables
 from tillflow.plans.order_log import cancellations, final_lines
 from tillflow.schemas import DAILY_INVOICE, RECORDS, STAFF_INVOICE
-from tillflow.session import build_session
+from tillflow.session import build_session, drop_written
 from tillflow.sinks.history import log_run, publish
 from tillflow.sources import pages
 from tillflow.sources.snapshots import in_day, read_snapshot, run_day, write_snapshot
@@ -75,6 +75,8 @@ def main(argv: list[str] | None = None) -> None:
         log_run(spark, args.out, args.job, day, rows, str(error))
         print(json.dumps({"status": "error", "message": str(error)}))
         raise
+    finally:
+        drop_written(spark)
 
 
 if __name__ == "__main__":

@@ -71,14 +71,16 @@ def lookup(
     how: str = "left",
     limits: GroupLimits | None = None,
     nulls_match: bool = True,
+    hot: dict[int, int] | None = None,
 ) -> DataFrame:
     """Join ``left``, in which a key may be hot, to ``right``; null keys match null unless told not to.
 
     ``how`` keeps or filters left rows: left, inner, left_semi or left_anti. Left rows of
     a hot key are spread over salts and the right rows of that key repeated once per salt.
+    ``hot`` saves looking for hot keys if the caller knows them.
     """
     limits = limits or GroupLimits()
-    hot = hot_keys(left, on, limits)
+    hot = hot_keys(left, on, limits) if hot is None else hot
     if not hot:
         return null_safe_join(left, right, on, how, nulls_match)
     cut = max(limits.max_rows, math.ceil(sum(hot.values()) / limits.max_keys))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tillflow.operators.groups import BLOCK, HOT, OrderedGroups, lookup, order_key
 from tillflow.operators.ordered import fill
 from tillflow.options import CHANGE, SPLIT, GroupLimits
-from tillflow.session import input_bytes, written
+from tillflow.session import settled, written
 
 PUSH, VOID, STAY = 0, 1, 2
 EVENT = ["root", "time", "child_id", "child_no"]
@@ -165,11 +165,10 @@ def _by_group(df: DataFrame, keys: list[str], order: list, cols: list[str]) -> D
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).select(*keys, *cols)
 
 
-def split_events(lines: DataFrame, order: list[str]) -> DataFrame:
+def split_events(splits: DataFrame, position: list[str]) -> DataFrame:
     """One row per split event, placed where its first log row stands."""
-    rest = [c for c in (*order, "seq", "line_no") if c not in EVENT]
-    first = F.min_by(F.struct(*rest), order_key([*order, "seq", "line_no"]))
-    return lines.groupBy(*EVENT).agg(first.alias("_at")).select(*EVENT, "_at.*")
+    first = F.min_by(F.struct(*[c for c in position if c not in EVENT]), order_key(position))
+    return splits.groupBy(*EVENT).agg(first.alias("_at")).select(*EVENT, "_at.*")
 
 
 def _stock_moves(lines: DataFrame, order: list[str], limits: GroupLimits) -> tuple[DataFrame, DataFrame]:
@@ -177,12 +176,15 @@ def _stock_moves(lines: DataFrame, order: list[str], limits: GroupLimits) -> tup
     position = [*order, "seq", "line_no"]
     own = lines.where((F.col("log_type") == CHANGE) & F.col("is_root"))
     splits = lines.where((F.col("log_type") == SPLIT) & F.col("child_id").isNotNull() & F.col("child_no").isNotNull())
-    events = split_events(splits, order)
+    rest = [c for c in position if c not in EVENT]
+    first = F.min_by(F.struct(*rest), order_key(position)).alias("_at")
+    per_item = splits.groupBy(*EVENT, "item").agg(F.sum("qty").alias("qty"), first).select(*EVENT, "item", "qty", "_at.*")
+    events = split_events(per_item, position)
 
     # An event that does not name an item still clears it. Only the first event after a
     # line, or after an event that let some units stay, can find stock to clear.
     named = lookup(
-        splits.where(F.col("item").isNotNull()).groupBy(*EVENT, "item").agg(F.sum("qty").alias("qty")),
+        per_item.where(F.col("item").isNotNull()).select(*EVENT, "item", "qty"),
         events,
         EVENT,
         "inner",
@@ -325,14 +327,13 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
     lines = written(lines)
 
     moves, events = _stock_moves(lines, order, limits)
-    if input_bytes(moves) > limits.small_input_bytes:
-        moves = written(moves)
+    moves = settled(moves, limits)
     walk = [*position, "op"]
     g = OrderedGroups(moves, ["root", "item"], walk, limits)
     keys = ["root", "item", BLOCK]
     if not g.split:
         moves = moves.withColumns({BLOCK: F.lit(0), "start": F.lit(0.0)})
-        pieces = _by_group(moves, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES)
+        pieces = written(_by_group(moves, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
     else:
         cut = written(g.df)
         levels = _by_group(cut.where(HOT), keys, walk, ["op", "qty"]).mapInPandas(_block_levels, LEVELS)

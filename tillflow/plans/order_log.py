@@ -13,7 +13,7 @@ from tillflow.operators.groups import lookup
 from tillflow.operators.ordered import fill, net_latest_first, occurrence_number
 from tillflow.operators.replay import replay_splits
 from tillflow.options import Options
-from tillflow.session import written
+from tillflow.session import settled, written
 
 # A line's place in its own bill; with the columns before it, the order in which ties resolve.
 PLACE = ["seq", "line_no"]
@@ -62,7 +62,7 @@ def follow_merges(lines: DataFrame, options: Options) -> DataFrame:
     """Give the lines of merged bills the id and number of the bill they ended up on."""
     limits = options.limits
     order = ["time", *PLACE]
-    df = with_types(lines, "number", "log_type", [o.MERGE, o.SPLIT], options)
+    df = settled(with_types(lines, "number", "log_type", [o.MERGE, o.SPLIT], options), limits)
     df = df.withColumn("target", notes.merged_into(F.col("note")))
     df = fill(df, ["number"], order, ["target"], limits=limits).where(~notes.is_merge_note(F.col("note")))
     df = written(df)
@@ -83,7 +83,7 @@ def split_families(merged: DataFrame, options: Options) -> DataFrame:
     """Log rows of split bills with root, child id and child number, ready for the replay."""
     limits = options.limits
     before = ["time", "number", "source_no", *PLACE]
-    df = with_types(merged, "number", "log_type", [o.SPLIT], options)
+    df = settled(with_types(merged, "number", "log_type", [o.SPLIT], options), limits)
     df = df.withColumn("child_id", notes.split_into(F.col("note")))
     df = fill(df, ["id"], before, ["child_id"], limits=limits)
     df = df.withColumn("child_id", F.when(F.col("log_type") == o.SPLIT, F.col("child_id")))
@@ -128,7 +128,7 @@ def final_lines(log: DataFrame, options: Options | None = None, literal_payload:
     df = df.withColumn("time", s.to_minute(F.col("time"))).withColumns(s.calendar(F.col("time")))
     df = written(df.withColumn("qty", s.number_or_zero(F.col("qty"))))
     ties = ["time", "branch", "root", "at_end", "emit", "line_at"]
-    df = net_latest_first(df, ["id", "item"], ties, "qty", limits)
+    df = settled(net_latest_first(df, ["id", "item"], ties, "qty", limits), limits)
     if options.reprice_after_netting:
         df = df.withColumn("revenue", F.col("price") * F.col("qty"))
     df = occurrence_number(df, ["id", "item", "qty"], ties, limits=limits)

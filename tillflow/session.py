@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.options import TIME_ZONE
+from tillflow.options import TIME_ZONE, GroupLimits
 
 
 def build_session(app_name: str = "tillflow", time_zone: str = TIME_ZONE, **conf: str) -> SparkSession:
@@ -40,6 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tillflow-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -47,11 +51,22 @@ def written(df: DataFrame) -> DataFrame:
     and true sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tillflow-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, limits: GroupLimits) -> DataFrame:
+    """``written``, if ``df`` is so large that the next operator will look at it for hot groups."""
+    return written(df) if input_bytes(df) > limits.small_input_bytes else df
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; nothing built on them can be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the relations ``df`` reads, from the optimizer's statistics; runs no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
