@@ -371,7 +371,7 @@ def split_root(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def merge_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links that close into a ring per customer class of three orders: all give the smallest id."""
+    """Rings of three orders each: all three give the smallest id."""
     df = v.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     base = F.floor(F.col("id") / 3) * 3
     links = df.select("id", (base + (F.col("id") + 1 - base) % 3).alias("to"))

@@ -45,11 +45,12 @@ def test_query(spark, con, name):
 @pytest.mark.parametrize("name", CUT)
 def test_query_with_cut_groups(spark, con, monkeypatch, name):
     monkeypatch.setattr(GroupLimits.__init__, "__defaults__", tuple(vars(compare.CUT).values()))
+    before = OPTIONS.limits
     object.__setattr__(OPTIONS, "limits", compare.CUT)
     try:
         assert compare.compare(spark, con, SF_DIR, name) is None
     finally:
-        object.__setattr__(OPTIONS, "limits", GroupLimits(4_000_000, 4096, 0.001, 32, 64 << 20))
+        object.__setattr__(OPTIONS, "limits", before)
 
 
 @pytest.mark.parametrize("name", list(SQL))

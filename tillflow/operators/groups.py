@@ -4,8 +4,8 @@ A window or a join keyed by bill sends all rows of a bill to one task. That is w
 we want for nearly all bills, and fails for one that holds a large part of the data.
 So hot keys are found from a sample, and only those are treated apart:
 
-* ordered work cuts them into blocks of consecutive rows, works inside the blocks and
-  carries a few values per block across (``OrderedGroups``);
+* ordered work range-partitions them into blocks of consecutive rows, works inside the
+  blocks and carries a few values per block across (``OrderedGroups``);
 * joins spread them over several salts (``lookup``).
 
 A hot key the sample misses costs time, never a wrong result.
@@ -17,12 +17,12 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.options import GroupLimits
-from tillflow.session import input_bytes
+from tillflow.session import input_bytes, written
 
 BLOCK, HOT, KEY_HASH, SALT = "_block", "_hot", "_key_hash", "_salt"
 
@@ -52,6 +52,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limits: GroupLimits) -> dict[in
     return {r["k"]: math.ceil(r["count"] / limits.sample_fraction) for r in rows}
 
 
+def _pieces(rows: int, limits: GroupLimits) -> int:
+    """Into how many pieces of about ``max_rows`` rows to cut."""
+    return max(2, min(limits.max_blocks, math.ceil(rows / limits.max_rows)))
+
+
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, nulls_match: bool = True
 ) -> DataFrame:
@@ -83,9 +88,9 @@ def lookup(
     hot = hot_keys(left, on, limits) if hot is None else hot
     if not hot:
         return null_safe_join(left, right, on, how, nulls_match)
-    cut = max(limits.max_rows, math.ceil(sum(hot.values()) / limits.max_keys))
+    per_salt = math.ceil(sum(hot.values()) / _pieces(sum(hot.values()), limits))
     salts = left.sparkSession.createDataFrame(
-        [(k, math.ceil(n / cut)) for k, n in hot.items()], f"{KEY_HASH} bigint, _salts int"
+        [(k, math.ceil(n / per_salt)) for k, n in hot.items()], f"{KEY_HASH} bigint, _salts int"
     )
 
     def with_salts(df: DataFrame) -> DataFrame:
@@ -108,63 +113,39 @@ def order_key(order: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def _comparable(value):
-    """Sort key for a collected order key; inside it, Spark puts null first."""
-    if isinstance(value, Row):
-        return tuple(_comparable(v) for v in value)
-    return (value is not None, value) if value is not None else (False,)
-
-
 class OrderedGroups:
     """Rows grouped by ``keys`` and ordered by ``order``, hot groups cut into blocks.
 
     ``order`` must be a total order within a group, or equal rows must be interchangeable.
     Use ``window()`` for work inside a block and ``carry()`` to get values of the other
     blocks of the same group. Without hot groups it is a plain window.
+
+    The blocks of hot groups are range partitions. They are written once: every reader, and
+    every task that is run again, must see the same blocks.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], limits: GroupLimits | None = None):
         self.keys, self.order, self.limits = list(keys), list(order), limits or GroupLimits()
-        cuts = self._cuts(df)
-        self.split = cuts is not None
+        hot = hot_keys(df, self.keys, self.limits)
+        self.split = bool(hot)
         self.df = df
         if self.split:
-            at = F.size(F.filter("_cuts", lambda c: c < F.col("_order_key")))
-            self.df = (
-                df.withColumn(KEY_HASH, key_hash(self.keys))
-                .join(F.broadcast(cuts), KEY_HASH, "left")  # at most max_keys rows
-                .withColumn("_order_key", F.when(F.col("_cuts").isNotNull(), order_key(self.order)))
-                .withColumn(HOT, F.col("_cuts").isNotNull())
-                .withColumn(BLOCK, F.when(F.col(HOT), at).otherwise(0))
-                .drop(KEY_HASH, "_cuts", "_order_key")
+            df = df.withColumn(KEY_HASH, key_hash(self.keys))
+            is_hot = F.col(KEY_HASH).isin(list(hot))
+            in_order = [F.asc_nulls_last(c) for c in self.order]
+            cut = (
+                df.where(is_hot)
+                .repartitionByRange(_pieces(sum(hot.values()), self.limits), KEY_HASH, *in_order)
+                .withColumn(BLOCK, F.spark_partition_id())
             )
+            cut = written(cut).withColumn(HOT, F.lit(True))
+            rest = df.where(~is_hot).withColumns({BLOCK: F.lit(0), HOT: F.lit(False)})
+            self.df = cut.unionByName(rest).drop(KEY_HASH)
 
     @property
     def block_keys(self) -> list[str]:
         return [*self.keys, BLOCK] if self.split else self.keys
 
-    def _cuts(self, df: DataFrame) -> DataFrame | None:
-        """Per hot key the order keys at which a new block starts, from a bounded sample."""
-        limits, hot = self.limits, hot_keys(df, self.keys, self.limits)
-        if not hot:
-            return None
-        block_rows = max(limits.max_rows, math.ceil(sum(hot.values()) / limits.max_keys))
-        fraction = min(1.0, limits.samples_per_block / block_rows)
-        part = df.select(key_hash(self.keys).alias("k"), order_key(self.order).alias("o"))
-        part = part.where(F.col("k").isin(list(hot)))
-        schema = part.schema["o"].dataType
-        seen: dict[int, list[Row]] = {}
-        for row in (part.sample(fraction, seed=7) if fraction < 1 else part).collect():
-            seen.setdefault(row["k"], []).append(row["o"])
-        cuts = []
-        for k, rows in seen.items():
-            rows.sort(key=_comparable)
-            blocks = math.ceil(hot[k] / block_rows)
-            at = sorted({len(rows) * b // blocks for b in range(1, blocks)})
-            cuts.append((k, [rows[i] for i in at]))
-        shape = T.StructType([T.StructField(KEY_HASH, T.LongType()), T.StructField("_cuts", T.ArrayType(schema))])
-        return df.sparkSession.createDataFrame(cuts, shape)
-
     def window(self, descending: bool = False) -> WindowSpec:
         way = F.desc_nulls_first if descending else F.asc_nulls_last
         return Window.partitionBy(*self.block_keys).orderBy(*[way(c) for c in self.order])
@@ -174,7 +155,7 @@ class OrderedGroups:
 
         ``per_block`` aggregates one row per block of the hot groups; ``across`` are window
         expressions over those rows (see ``blocks``). The rows joined back are bounded by
-        the number of blocks, about twice ``limits.max_keys``.
+        the number of blocks and of hot keys.
         """
         blocks = df.where(HOT).groupBy(*self.block_keys).agg(*[c.alias(n) for n, c in per_block.items()])
         carried = blocks.select(*self.block_keys, *[c.alias(n) for n, c in across.items()])

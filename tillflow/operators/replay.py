@@ -252,40 +252,26 @@ def _starts(blocks: DataFrame) -> DataFrame:
 
 
 def _match_ranges(pieces: DataFrame, limits: GroupLimits) -> DataFrame:
-    """Step 3: match left-over units with later deep takings, by ranges of height."""
-    counts = pieces.groupBy("root", "item").count()
-    large = counts.where(F.col("count") > limits.max_rows).orderBy(F.desc("count")).limit(limits.max_keys).collect()
-    parts = pieces.withColumn("_range", F.lit(0))
-    if large:
-        rows = max(limits.max_rows, sum(r["count"] for r in large) // limits.max_keys)
-        spark = pieces.sparkSession
-        ranges = [(r["root"], r["item"], math.ceil(r["count"] / rows)) for r in large]
-        most = max(n for _, _, n in ranges)
-        wanted = spark.createDataFrame(ranges, "root string, item string, _ranges int")
-        # About 2 * max_keys cuts in all. They are fixed here, so that a lost task redoes
-        # its work with the same ones.
-        cuts = (
-            lookup_small(pieces, wanted, "inner")
-            .groupBy("root", "item", "_ranges")
-            .agg(F.percentile_approx("low", [i / most for i in range(1, most)] or [0.5], 10_000).alias("_all"))
-            .withColumn("_step", F.ceil(F.lit(most) / F.col("_ranges")).cast("int"))
-            .select("root", "item", F.expr("filter(_all, (c, i) -> (i + 1) % _step = 0)").alias("_cuts"))
-            .select("root", "item", F.array_sort(F.array_distinct("_cuts")).alias("_cuts"))
-            .collect()
-        )
-        cuts = spark.createDataFrame(
-            [(r["root"], r["item"], r["_cuts"]) for r in cuts], "root string, item string, _cuts array<double>"
-        )
-        below = lambda x, strict: F.size(
-            F.filter("_cuts", lambda c: (c < x) if strict else (c <= x))
-        )
-        spans = F.sequence(below(F.col("low"), False), below(F.col("high"), True))
-        parts = lookup_small(pieces, cuts, "left").withColumn(
-            "_range", F.explode(F.when(F.col("_cuts").isNotNull(), spans).otherwise(F.array(F.lit(0))))
-        )
-        floor = F.when(F.col("_range") > 0, F.try_element_at("_cuts", F.col("_range")))
-        top = F.try_element_at("_cuts", F.col("_range") + 1)
-        parts = parts.withColumns({"low": F.greatest("low", floor), "high": F.least("high", top)}).drop("_cuts")
+    """Step 3: match left-over units with later deep takings, by ranges of height.
+
+    Ranges have a fixed width per group. In a block the left-over pieces of a kind do not
+    overlap, so a range takes from each block pieces of at most its own width.
+    """
+    sizes = pieces.groupBy("root", "item").agg(F.count("*").alias("n"), F.max("high").alias("top"))
+    large = sizes.where(F.col("n") > limits.max_rows).orderBy(F.desc("n")).limit(limits.max_keys).collect()
+    rows = max(limits.max_rows, sum(r["n"] for r in large) // limits.max_blocks)
+    # Powers of two, so that dividing by the width is exact.
+    widths = [(r["root"], r["item"], 2.0 ** math.ceil(math.log2(r["top"] * rows / r["n"]))) for r in large]
+    widths = pieces.sparkSession.createDataFrame(widths, "root string, item string, _width double")
+    low, high, width = F.col("low"), F.col("high"), F.col("_width")
+    spans = F.sequence(F.floor(low / width), F.greatest(F.ceil(high / width) - 1, F.floor(low / width)))
+    floor = F.col("_range") * width
+    parts = (
+        lookup_small(pieces, widths, "left")
+        .withColumn("_range", F.explode(F.when(width.isNotNull(), spans).otherwise(F.array(F.lit(0).cast("bigint")))))
+        .withColumns({"low": F.greatest(low, floor), "high": F.least(high, floor + width)})
+        .drop("_width")
+    )
     # In a block the takings come first, from high to low, then its own units, low to high.
     walk = [F.col(BLOCK), F.desc("piece"), F.when(F.col("piece") == DEEP, -F.col("low")).otherwise(F.col("low"))]
     cols = ["piece", "low", "high", "seq", "line_no", "event_seq", "event_line", "stays"]
