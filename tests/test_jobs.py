@@ -249,13 +249,21 @@ def test_publish_twice_keeps_one_copy(spark, folders, tables, tmp_path):
     assert spark.read.json(f"{out}/run_log").select("status", "rows.staff_kpi").first() == ("success", 2)
 
 
-def test_streaming_ingest_reads_each_file_once(spark, tmp_path):
+def test_streaming_ingest(spark, tmp_path):
     root = str(tmp_path)
-    land(f"{root}/landed", "order_log", [log("09:00", "X", "T1", "SALE_CHANGE", "An", [("Tea", 1.0, 1)])])
-    for n in (1, 2):
+
+    def ingest():
         ingest_new_pages(spark, f"{root}/landed", f"{root}/snap", "order_log", f"{root}/progress").awaitTermination()
-        assert snapshots.read_snapshot(spark, f"{root}/snap", "order_log", DAY).count() == n
-        land(f"{root}/landed", "order_log", [log("10:00", "X", "T1", "SALE_CHANGE", "An", [])], page=2)
+        return spark.read.parquet(f"{root}/snap/order_log").groupBy("_date").count().orderBy("_date").collect()
+
+    tea = [log("09:00", "X", "T1", "SALE_CHANGE", "An", [("Tea", 1.0, 1)])]
+    land(f"{root}/landed", "order_log", tea, cursor="a")
+    assert [r["count"] for r in ingest()] == [1]
+    assert [r["count"] for r in ingest()] == [1]
+    land(f"{root}/landed", "order_log", tea, page=2, cursor="b")
+    land(f"{root}/landed", "order_log", tea, page=3, cursor="a")
+    land(f"{root}/landed", "order_log", tea * 3, day=DAY + dt.timedelta(days=1))
+    assert [r["count"] for r in ingest()] == [2, 3]
 
 
 def test_run_day():

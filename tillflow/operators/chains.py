@@ -33,34 +33,35 @@ def resolve(links: DataFrame, src: str, dst: str, limits: GroupLimits | None = N
     followed, so a chain of n links takes log2(n) rounds. Ids on a cycle, and ids that
     lead into one, resolve to the smallest id on the cycle.
     """
-    nodes = written(
-        links.select(
-            F.col(src).alias("id"), F.col(dst).alias("to"), F.col(dst).alias("low"), F.lit(False).alias("ended")
-        )
-    )
-    still_open, followed = None, 1
+    open_rows = written(links.select(F.col(src).alias("id"), F.col(dst).alias("to"), F.col(dst).alias("low")))
+    done, still_open, followed = None, None, 1
     while True:
-        # A row is done once its target has no link of its own; only the others join again.
-        step = nodes.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("low").alias("_low"))
-        moved = lookup(nodes.where(~F.col("ended")), step, ["to"], "left", limits, nulls_match=False).select(
-            "id",
-            F.coalesce("_to", "to").alias("to"),
-            F.least("low", "_low").alias("low"),
-            F.col("_to").isNull().alias("ended"),
+        # A row is done once its target has no link of its own. It stays where it was
+        # written; only the others join again.
+        known = open_rows if done is None else open_rows.unionByName(done)
+        step = known.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("low").alias("_low"))
+        moved = written(
+            lookup(open_rows, step, ["to"], "left", limits, nulls_match=False).select(
+                "id",
+                F.coalesce("_to", "to").alias("to"),
+                F.least("low", "_low").alias("low"),
+                F.col("_to").isNull().alias("ended"),
+            )
         )
-        nodes = written(nodes.where("ended").unionByName(moved))
+        ended, open_rows = (moved.where(c).drop("ended") for c in (F.col("ended"), ~F.col("ended")))
+        done = ended if done is None else done.unionByName(ended)
         followed *= 2
-        count = nodes.where(~F.col("ended")).count()
+        count = open_rows.count()
         # As long as a chain is unfinished, every round finishes some row. If none was, all
         # open rows are caught in cycles, and once as many links were followed as there are
         # open rows, ``to`` is on the cycle and its ``low`` has seen all of it.
         if count == 0 or (count == still_open and followed >= count):
             break
         still_open = count
-    done = nodes.where("ended").select("id", "to")
+    done = done.select("id", "to")
     if count:
-        on_cycle = nodes.select(F.col("id").alias("to"), F.col("low").alias("_smallest"))
-        caught = lookup(nodes.where(~F.col("ended")).select("id", "to"), on_cycle, ["to"], "inner", limits, nulls_match=False)
+        on_cycle = open_rows.select(F.col("id").alias("to"), F.col("low").alias("_smallest"))
+        caught = lookup(open_rows.select("id", "to"), on_cycle, ["to"], "inner", limits, nulls_match=False)
         done = done.unionByName(caught.select("id", F.col("_smallest").alias("to")))
     return done.select(F.col("id").alias(src), F.col("to").alias(dst))
 

@@ -1,24 +1,37 @@
-"""Incremental ingest: turn newly landed pages into snapshots and stop when none are left."""
+"""Incremental ingest: bring snapshots up to date with newly landed pages, then stop."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillflow.options import GroupLimits
 from tillflow.sources import pages
+from tillflow.sources.snapshots import write_snapshot
 
 
-def ingest_new_pages(spark: SparkSession, landed: str, snapshots: str, dataset: str, progress: str) -> StreamingQuery:
-    """Each landed file is read once; ``progress`` remembers which ones were.
+def ingest_new_pages(
+    spark: SparkSession, landed: str, snapshots: str, dataset: str, progress: str, limits: GroupLimits | None = None
+) -> StreamingQuery:
+    """Rewrite the snapshot of every day that got new pages; ``progress`` remembers the pages seen.
 
-    The query holds no state between files, so it needs no watermark.
+    A day is always built from all its pages, by the rules of the batch ingest. So a page
+    that was fetched twice, even days apart, does not count twice, and a batch that is run
+    again after a failure gives the same snapshot.
     """
-    rows: DataFrame = pages.records(pages.stream_pages(spark, landed, dataset), dataset)
+
+    def refresh(new: DataFrame, _batch: int) -> None:
+        # As many values as calendar days were touched.
+        days = [r["_date"] for r in new.select("_date").distinct().collect()]
+        touched = pages.read_pages(spark, landed, dataset).where(F.col("_date").isin(days))
+        write_snapshot(pages.records(pages.without_repeats(touched, limits), dataset), snapshots, dataset)
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", f"{snapshots}/{dataset}")
+        pages.stream_pages(spark, landed, dataset)
+        .select("_date")
+        .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", f"{progress}/{dataset}")
-        .partitionBy("_date")
         .trigger(availableNow=True)
         .start()
     )
