@@ -288,6 +288,75 @@ parts AS (
 SELECT parts.root, parts.id, 'no-' || parts.id AS number, parts.item, parts.qty, seq, price, at_end
 FROM parts JOIN log USING (seq)"""
 
+# What merges and splits do to this log can be said per customer k: bills of k % 4 = 1 with a
+# merge row move to bill k + 1, and an even k has a child bill. Then as in split_replay.
+_PLACE = "time, suffix, number, source_no"
+_LAST = "time, branch, root, at_end, e_time, e_suffix, e_number, e_source, e_seq, number, source_no, seq"
+SQL["order_reconstruction"] = f"""WITH RECURSIVE src AS (
+  SELECT *, o_custkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY {LINE}) AS n,
+    l_returnflag = 'A' AND l_linestatus = 'O' AND o_custkey % 2 = 0 AS is_split,
+    l_returnflag = 'A' AND l_linestatus = 'O' AND o_custkey % 4 = 1 AS is_merge,
+    l_returnflag = 'R' AND l_linestatus = 'O' AND o_custkey % 2 = 0 AND l_linenumber = 1 AS is_new FROM {LINES}),
+ids AS (
+  SELECT *, CASE WHEN is_new OR (l_returnflag = 'A' AND l_linestatus = 'F' AND k % 2 = 0) THEN 'C' || k ELSE 'B' || k END AS id0,
+    CASE WHEN l_returnflag = 'R' AND NOT is_new THEN -l_quantity / 4 ELSE l_quantity END AS qty FROM src),
+log AS (SELECT k, k * 1000000000 + n AS seq, l_shipdate AS time, p_type AS item, p_retailprice AS price,
+  'E' || l_suppkey AS employee, is_split, is_merge, is_new, id0, 'no-' || id0 AS source_no, qty FROM ids),
+touched AS (SELECT DISTINCT source_no FROM log WHERE is_split OR is_merge OR is_new),
+plain AS (SELECT * FROM log WHERE source_no NOT IN (FROM touched)),
+g AS (SELECT * FROM log WHERE source_no IN (FROM touched) AND NOT is_merge),
+moved AS (SELECT *, CASE WHEN k % 4 = 1 THEN 'B' || (k + 1) ELSE id0 END AS id,
+  CASE WHEN k % 4 = 1 AND 'B' || (k + 1) IN (SELECT id0 FROM g) THEN 'no-B' || (k + 1) ELSE source_no END AS number FROM g),
+t AS (SELECT * FROM moved WHERE number IN (SELECT number FROM moved WHERE is_split OR is_new)),
+parent AS (SELECT DISTINCT k FROM t WHERE is_split),
+child AS (SELECT DISTINCT k FROM t WHERE id LIKE 'C%'),
+fam0 AS (SELECT t.*, CASE WHEN id LIKE 'C%' AND t.k IN (FROM parent) THEN 'B' || t.k ELSE id END AS root,
+  CASE WHEN is_split THEN 'C' || t.k END AS child, coalesce(right(CASE WHEN is_split THEN 'C' || t.k END, 4), 'None') AS suffix
+  FROM t WHERE NOT is_new AND NOT (is_split AND t.k NOT IN (FROM child))),
+main AS (SELECT root, coalesce(min(CASE WHEN id = root THEN id END), arg_min(id, ({_PLACE}, seq))) AS main FROM fam0 GROUP BY root),
+fam AS (SELECT fam0.*, NOT is_split AND id = main AS own FROM fam0 JOIN main USING (root)),
+ev AS (SELECT root, time, child, suffix, number, source_no, min(seq) AS pos FROM fam WHERE is_split GROUP BY ALL),
+stay AS (SELECT root, time, child, item, abs(sum(qty)) AS q FROM fam WHERE is_split GROUP BY ALL),
+moves AS (
+  SELECT root, item, {_PLACE}, seq AS pos, CASE WHEN qty > 0 THEN 'push' ELSE 'void' END AS op, abs(qty) AS q,
+    CAST(NULL AS VARCHAR) AS child FROM fam WHERE own
+  UNION ALL SELECT i.root, i.item, ev.time, ev.suffix, ev.number, ev.source_no, ev.pos, 'stay', coalesce(stay.q, 0), ev.child
+  FROM (SELECT DISTINCT root, item FROM fam WHERE own) i JOIN ev ON i.root = ev.root
+    LEFT JOIN stay ON stay.root = ev.root AND stay.time = ev.time AND stay.child = ev.child AND stay.item = i.item),
+ord AS (SELECT *, row_number() OVER (PARTITION BY root, item ORDER BY {_PLACE}, pos) AS k FROM moves),
+h AS (
+  SELECT root, item, k, op, pos, child, CAST(0 AS DOUBLE) AS lo,
+    CASE WHEN op = 'push' THEN q ELSE CAST(0 AS DOUBLE) END AS hi FROM ord WHERE k = 1
+  UNION ALL SELECT o.root, o.item, o.k, o.op, o.pos, o.child, h.hi,
+    CASE o.op WHEN 'push' THEN h.hi + o.q WHEN 'void' THEN greatest(0, h.hi - o.q) ELSE least(h.hi, o.q) END
+  FROM h JOIN ord o ON o.root = h.root AND o.item = h.item AND o.k = h.k + 1),
+pairs AS (
+  SELECT p.root, p.pos AS seq, p.lo, p.hi, u.op, u.child, u.pos, u.k, min(u.hi) OVER (PARTITION BY p.pos ORDER BY u.k) AS m
+  FROM h p JOIN h u ON u.root = p.root AND u.item = p.item AND u.k > p.k WHERE p.op = 'push'),
+cut AS (SELECT *, greatest(0, least(hi, coalesce(lag(m) OVER (PARTITION BY seq ORDER BY k), hi)) - greatest(lo, m)) AS q FROM pairs),
+rest AS (SELECT p.root, p.pos AS seq, greatest(0, least(p.hi, coalesce(min(m), p.hi)) - p.lo) AS q
+  FROM h p LEFT JOIN pairs ON pairs.seq = p.pos WHERE p.op = 'push' GROUP BY p.root, p.pos, p.hi, p.lo),
+parts AS (
+  SELECT f.*, cut.child AS to_id, 'no-' || cut.child AS to_no, cut.q, 0 AS at_end, ev.time AS e_time, ev.suffix AS e_suffix,
+    ev.number AS e_number, ev.source_no AS e_source, ev.pos AS e_seq
+  FROM cut JOIN fam f USING (seq) JOIN ev ON ev.pos = cut.pos WHERE cut.op = 'stay' AND cut.q > 0
+  UNION ALL SELECT f.*, f.id, f.number, rest.q, 1, NULL, NULL, NULL, NULL, NULL FROM rest JOIN fam f USING (seq) WHERE rest.q > 0
+  UNION ALL SELECT f.*, f.id, f.number, f.qty, 0, f.time, f.suffix, f.number, f.source_no, f.seq
+  FROM fam f WHERE NOT is_split AND NOT own),
+settled AS (
+  SELECT to_id AS id, to_no AS final_no, item, q AS qty, price, employee, time, seq, 1 AS branch, root, at_end, e_time, e_suffix,
+    e_number, e_source, e_seq, number, source_no FROM parts
+  UNION ALL SELECT id0, source_no, item, qty, price, employee, time, seq, 2, NULL, 0, NULL, NULL, NULL, NULL, NULL,
+    source_no, source_no FROM plain),
+owed AS (SELECT *, sum(greatest(-qty, 0)) OVER (PARTITION BY id, item) AS owed,
+  coalesce(sum(greatest(qty, 0)) OVER (PARTITION BY id, item ORDER BY {_LAST}
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS later FROM settled WHERE qty <> 0),
+net AS (SELECT * REPLACE (qty - least(qty, greatest(0, owed - later)) AS qty) FROM owed
+  WHERE qty > 0 AND qty - least(qty, greatest(0, owed - later)) > 0)
+SELECT id, final_no AS number, item, qty, price, employee, 'SALE_CHANGE' AS log_type, CAST(time AS DATE) AS date,
+  strftime(time, '%V-%G') AS week, row_number() OVER (PARTITION BY id, item, qty ORDER BY {_LAST}) AS mark, seq, branch
+FROM net"""
+
 SQL["staff_order"] = f"WITH {ORDERS} SELECT * REPLACE (round(revenue, 2) AS revenue) FROM staff"
 
 SQL["identified_rate"] = f"WITH {ORDERS}, {RATE} SELECT * FROM rate"
