@@ -3,7 +3,11 @@
 import datetime as dt
 import json
 import os
+import subprocess
+import sys
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +247,10 @@ def test_publish_twice_keeps_one_copy(spark, folders, tables, tmp_path):
     assert rows == {"sales_lines": 5, "cancellations": 2, "staff_order": 4, "staff_kpi": 2, "customer_invoice": 5}
     kpi = history.read_history(spark, f"{out}/staff_kpi")
     assert kpi.count() == 4 and kpi.columns[:-1] == list(HEADINGS["staff_kpi"].values())
+    day = spark.read.parquet(f"{out}/sales_lines/run_date={DAY}").collect()
+    assert [(r["Số hoá đơn"], r["Món"]) for r in day] == sorted((r["Số hoá đơn"], r["Món"]) for r in day)
+    revenue = [r[0] for r in spark.read.parquet(f"{out}/staff_kpi/run_date={DAY}").select("`Tổng giá trị order`").collect()]
+    assert revenue == sorted(revenue, reverse=True)
     removed = history.read_history(spark, f"{out}/cancellations").where("`Ngày` is null").first()
     assert removed["Năm"] == 0 and removed["Tuần"] is None
     history.log_run(spark, out, "staff", DAY, rows)
@@ -266,6 +274,32 @@ def test_streaming_ingest(spark, tmp_path):
     assert [r["count"] for r in ingest()] == [2, 3]
 
 
+def test_command_line(tmp_path):
+    """Each job in a process of its own; afterwards no intermediate table is left."""
+    root, scratch = str(tmp_path), tmp_path / "scratch"
+    land_day(f"{root}/landed")
+    os.makedirs(f"{root}/stores")
+    pq.write_table(pa.table({"store_uid": ["s1"], "store": ["THU"]}), f"{root}/stores/stores.parquet")
+    rows = {}
+    for job in ("ingest", "staff", "daily"):
+        args = ["--day", str(DAY), "--snapshots", f"{root}/snap", "--out", f"{root}/out", "--landed", f"{root}/landed"]
+        settings = f"--master local[4] --conf spark.ui.enabled=false --conf spark.checkpoint.dir={scratch} pyspark-shell"
+        done = subprocess.run(
+            [sys.executable, "-m", "tillflow.jobs", job, *args, "--stores", f"{root}/stores"],
+            env=os.environ | {"PYSPARK_SUBMIT_ARGS": settings}, cwd=os.path.dirname(os.path.dirname(__file__)),
+            capture_output=True, text=True, timeout=300,
+        )
+        assert done.returncode == 0, done.stderr[-3000:]
+        rows[job] = json.loads(done.stdout.strip().splitlines()[-1])["rows"]
+    assert rows["ingest"] == {"invoice": 5, "invoice_line": 8, "order_log": 14, "removed_item": 2}
+    assert rows["staff"] == {
+        "sales_lines": 5, "cancellations": 2, "staff_order": 4, "staff_kpi": 2, "customer_invoice": 5,
+        "lines_without_number": 0,
+    }
+    assert rows["daily"] == {"daily_invoice": 5}
+    assert not list(scratch.glob("tillflow-*"))
+
+
 def test_run_day():
     assert snapshots.run_day("2024-03-05") == dt.date(2024, 3, 5)
     late = dt.datetime(2024, 3, 1, 17, 30, tzinfo=dt.timezone.utc)

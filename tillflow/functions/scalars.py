@@ -40,11 +40,14 @@ def invoice_id(origin: Column, own: Column) -> Column:
     return F.coalesce(origin, own)
 
 
+def two_digits(c: Column) -> Column:
+    text = c.cast("string")
+    return F.when(c.between(0, 9), F.concat(F.lit("0"), text)).otherwise(text)
+
+
 def clock_text(hour: Column, minute: Column) -> Column:
-    return F.when(
-        hour.isNotNull() & minute.isNotNull(),
-        F.format_string("%02d:%02d", hour.cast("int"), minute.cast("int")),
-    )
+    """``HH:MM``, null if either part is."""
+    return F.concat(two_digits(hour), F.lit(":"), two_digits(minute))
 
 
 def is_clock(hour: Column, minute: Column) -> Column:
@@ -67,15 +70,12 @@ def to_minute(c: Column) -> Column:
 
 
 def week_label(d: Column) -> Column:
-    return F.concat(
-        F.lpad(F.extract(F.lit("WEEK"), d).cast("string"), 2, "0"),
-        F.lit("-"),
-        F.extract(F.lit("YEAROFWEEK"), d).cast("string"),
-    )
+    week, year = F.extract(F.lit("WEEK"), d), F.extract(F.lit("YEAROFWEEK"), d)
+    return F.concat(two_digits(week), F.lit("-"), year.cast("string"))
 
 
 def month_label(d: Column) -> Column:
-    return F.date_format(d, "MM-yyyy")
+    return F.concat(two_digits(F.month(d)), F.lit("-"), F.year(d).cast("string"))
 
 
 def week_label_short(d: Column) -> Column:

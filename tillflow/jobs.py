@@ -24,7 +24,8 @@ from tillflow.sources.snapshots import in_day, read_snapshot, run_day, write_sna
 def ingest(spark: SparkSession, landed: str, snapshots: str, dataset: str, day: dt.date, options: Options) -> DataFrame:
     """Write the day's snapshot from its landed pages; returns rows landed against announced."""
     landed_pages = pages.read_pages(spark, landed, dataset).where(F.col("_date") == day.isoformat())
-    rows = pages.records(pages.without_repeats(landed_pages, options.limits), dataset)
+    landed_pages = pages.without_repeats(landed_pages, options.limits)
+    rows = pages.records(landed_pages, dataset)
     if dataset == "invoice" and options.day_opens_at_hour:
         rows = rows.where(in_day(F.col("created_at"), F.lit(day), options.day_opens_at_hour))
     write_snapshot(rows, snapshots, dataset)

@@ -82,7 +82,9 @@ def lookup(
 
     ``how`` keeps or filters left rows: left, inner, left_semi or left_anti. Left rows of
     a hot key are spread over salts and the right rows of that key repeated once per salt.
-    ``hot`` saves looking for hot keys if the caller knows them.
+    The salt comes from the row's own values, so that a task that is run again gives the
+    same one; rows equal in every column share it. ``hot`` saves looking for hot keys if
+    the caller knows them.
     """
     limits = limits or GroupLimits()
     hot = hot_keys(left, on, limits) if hot is None else hot

@@ -97,3 +97,12 @@ HEADINGS = {
         "hours_used": "Thời gian sử dụng (giờ)",
     },
 }
+
+# Row order of the published tables; a leading minus means largest first.
+SORTED_BY = {
+    "sales_lines": ("number", "item", "time"),
+    "staff_order": ("date", "number", "employee"),
+    "staff_kpi": ("date", "-revenue"),
+    "customer_invoice": ("number", "time"),
+    "daily_invoice": ("date", "time_in"),
+}

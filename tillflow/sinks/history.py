@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.schemas import HEADINGS
-
-
+from tillflow.schemas import HEADINGS, SORTED_BY
 
 
 def zero_filled(df: DataFrame, text_too: bool = False) -> DataFrame:
@@ -44,6 +42,15 @@ def for_sheet(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def in_order(df: DataFrame, table: str) -> DataFrame:
+    """The table's row order; tables without one are only brought to a sensible number of files."""
+    if table not in SORTED_BY:
+        return df.hint("rebalance")
+    return df.orderBy(
+        *[F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in SORTED_BY[table]]
+    )
+
+
 def write_day(df: DataFrame, path: str, day: dt.date, clean: bool = True, zero_fill_text: bool = False) -> int:
     """Add one run's rows to the history; a rerun of the same day replaces its rows.
 
@@ -51,15 +58,8 @@ def write_day(df: DataFrame, path: str, day: dt.date, clean: bool = True, zero_f
     """
     df = zero_filled(df, zero_fill_text) if clean else df
     counted = Observation()
-    (
-        df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .withColumn("run_date", F.lit(day))
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(path)
-    )
+    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    df.write.mode("overwrite").parquet(f"{path}/run_date={day}")
     return counted.get["rows"]
 
 
@@ -72,7 +72,7 @@ def publish(
 ) -> dict[str, int]:
     """Write the tables in the given order; returns rows per table."""
     return {
-        name: write_day(for_sheet(df, name), f"{path}/{name}", day, clean, zero_fill_text)
+        name: write_day(for_sheet(in_order(df, name), name), f"{path}/{name}", day, clean, zero_fill_text)
         for name, df in tables.items()
     }
 
