@@ -22,7 +22,7 @@ from tillflow.operators.ordered import (
 from tillflow.operators.replay import replay_splits
 from tillflow.options import CHANGE, LOG_TYPES, MERGE, NO_TOPPING, SPLIT, Options
 from tillflow.plans import daily, invoices, kpi, order_log, reports
-from tillflow.schemas import HEADINGS
+from tillflow.schemas import HEADINGS, columns
 from tillflow.session import settled, written
 from tillflow.sinks.history import appended
 from tillflow.sources import pages
@@ -170,8 +170,6 @@ def table_area_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def payload_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed payload fields, broken payloads, Python literals, and text turned into numbers."""
-    from tillflow.schemas import columns
-
     schema = columns("k int, missing string")
     broken = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
     old = F.concat(F.lit("{'k': "), F.get_json_object("props", "$.k"), F.lit(", 'missing': None, 'ok': True}"))

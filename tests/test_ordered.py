@@ -173,3 +173,12 @@ def test_aggregates_follow_the_order(spark):
         F.count("*"),
     )
     assert tuple(got.first()) == ("a", "z", None, "z", 3)
+
+
+def test_copies_of_one_row_are_spread(spark, small_limits):
+    df = spark.range(0, 400, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("x"))
+    right = spark.createDataFrame([("hot", 5)], "k string, w int")
+    out = groups.lookup(df, right, ["k"], "left", small_limits, nulls_match=False)
+    assert out.where("w = 5").count() == 400
+    salted = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "SPARK_PARTITION_ID" in salted

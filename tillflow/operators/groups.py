@@ -82,9 +82,9 @@ def lookup(
 
     ``how`` keeps or filters left rows: left, inner, left_semi or left_anti. Left rows of
     a hot key are spread over salts and the right rows of that key repeated once per salt.
-    The salt comes from the row's own values, so that a task that is run again gives the
-    same one; rows equal in every column share it. ``hot`` saves looking for hot keys if
-    the caller knows them.
+    The salt comes from the row's values and its input partition: a task that is run again
+    gives the same salts, and copies of a row are spread too. ``hot`` saves looking for hot
+    keys if the caller knows them.
     """
     limits = limits or GroupLimits()
     hot = hot_keys(left, on, limits) if hot is None else hot
@@ -100,7 +100,8 @@ def lookup(
         return df.withColumn(KEY_HASH, key_hash(on)).join(F.broadcast(salts), KEY_HASH, "left").drop(KEY_HASH)
 
     every = [F.col(c) for c in left.columns if not isinstance(left.schema[c].dataType, T.MapType)]
-    spread = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*every), F.col("_salts").cast("bigint")))
+    place = F.xxhash64(*every, F.spark_partition_id())
+    spread = F.when(F.col("_salts").isNotNull(), F.pmod(place, F.col("_salts").cast("bigint")))
     left = with_salts(left).withColumn(SALT, F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_salts")
     copies = F.sequence(F.lit(0).cast("bigint"), (F.coalesce("_salts", F.lit(1)) - 1).cast("bigint"))
     right = with_salts(right).withColumn(SALT, F.explode(copies)).drop("_salts")
