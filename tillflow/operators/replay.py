@@ -279,11 +279,11 @@ def _match_ranges(pieces: DataFrame, limits: GroupLimits) -> DataFrame:
 
 
 def lookup_small(df: DataFrame, small: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Join to a driver-made list of at most ``max_keys`` (root, item) pairs."""
+    """Join to a list of at most ``max_keys`` (root, item) pairs."""
     small = F.broadcast(small.withColumnsRenamed({"root": "_root", "item": "_item"}))
     same = (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item"))
     joined = df.join(small, same, how)
-    return joined if how == "left_semi" else joined.drop("_root", "_item")
+    return joined.drop("_root", "_item") if how == "left" else joined
 
 
 def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None = None) -> DataFrame:
@@ -321,24 +321,20 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
         moves = moves.withColumns({BLOCK: F.lit(0), "start": F.lit(0.0)})
         pieces = written(_by_group(moves, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
     else:
-        cut = written(g.df)
-        levels = _by_group(cut.where(HOT), keys, walk, ["op", "qty"]).mapInPandas(_block_levels, LEVELS)
-        cut = lookup_blocks(cut, _starts(levels))
+        levels = _by_group(g.df.where(HOT), keys, walk, ["op", "qty"]).mapInPandas(_block_levels, LEVELS)
+        cut = lookup_blocks(g.df, _starts(levels))
         pieces = written(_by_group(cut, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
-        hot = cut.where(HOT).select("root", "item").distinct()
-        # Without a later block of the same group, what is left stays left.
-        hot = F.broadcast(hot.withColumnsRenamed({"root": "_root", "item": "_item"}))  # at most max_keys rows
-        same = (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item"))
-        open_end = F.col("piece") != TAKEN
-        pieces = (
-            pieces.where(~open_end)
-            .unionByName(pieces.where(open_end).join(hot, same, "left_anti"))
-            .unionByName(_match_ranges(pieces.where(open_end).join(hot, same, "left_semi"), limits))
-        )
-        # A line's units taken by one event may have been cut into several ranges.
-        pieces = pieces.groupBy("root", "item", "piece", "seq", "line_no", "event_seq", "event_line").agg(
-            F.sum(F.col("high") - F.col("low")).alias("high"), F.lit(0.0).alias("low")
+        cut_groups = g.df.where(HOT).select("root", "item").distinct()  # at most max_keys rows
+        whole, parts = lookup_small(pieces, cut_groups, "left_anti"), lookup_small(pieces, cut_groups)
+        matched = _match_ranges(parts.where(F.col("piece") != TAKEN), limits)
+        # A line's units taken by one event may lie in several ranges.
+        matched = (
+            parts.where(F.col("piece") == TAKEN)
+            .unionByName(matched)
+            .groupBy("root", "item", "piece", "seq", "line_no", "event_seq", "event_line")
+            .agg(F.sum(F.col("high") - F.col("low")).alias("high"), F.lit(0.0).alias("low"))
         )
+        pieces = written(whole.select(*matched.columns).unionByName(matched))
     return _results(lines, pieces, events, position, limits)
 
 
