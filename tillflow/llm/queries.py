@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import dedup, shards
+from tillflow.llm.jaccard import Join, near_classes
 from tillflow.session import scratch_dir
 
 
@@ -39,9 +40,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"), Join(n=3, percent=90))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
 
 SQL: dict[str, str] = {
