@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import dedup, shards
+from tillflow.llm import decontaminate, dedup, shards
 from tillflow.llm.jaccard import Join, near_classes
 from tillflow.session import scratch_dir
 
@@ -23,6 +23,18 @@ def new_index(spark: SparkSession) -> dedup.DigestIndex:
     return dedup.DigestIndex(spark, name, f"{scratch_dir(spark)}/{name}")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), 16).select(
         "doc_id",
@@ -45,12 +57,41 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH i AS (
+            SELECT item_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark
+        ), i_windows AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS k, w[p : p + least(len(w), 13) - 1] AS grams
+            FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS p FROM i WHERE len(w) > 0)
+        ), d AS (
+            SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+        ), d_windows AS (
+            SELECT doc_id, k, p, w[p : p + k - 1] AS grams
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i_windows))
+        ), found AS (
+            SELECT doc_id, d_windows.k, p, item_id FROM d_windows JOIN i_windows USING (grams)
+        ), hits AS (
+            SELECT doc_id, count(*) AS n_hit
+            FROM (SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS word FROM found) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op5_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, coalesce(length(text), 0) AS chars,
