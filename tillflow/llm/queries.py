@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import decontaminate, dedup, shards
+from tillflow.llm import decontaminate, dedup, language, shards
 from tillflow.llm.jaccard import Join, near_classes
 from tillflow.session import scratch_dir
 
@@ -56,11 +56,19 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), Join(n=3, percent=90))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.remainder(F.col("doc_id"), 4) == 2
+    found = language.identify(docs, language.train(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op10_language_id": op10_language_id,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
