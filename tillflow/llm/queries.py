@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -10,9 +11,15 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import decontaminate, dedup, language, shards
 from tillflow.llm.jaccard import Join, near_classes
+from tillflow.llm.lm import LanguageModel, score
+from tillflow.llm.pieces import PieceModel, encode
 from tillflow.session import scratch_dir
 
 
+#: A public SentencePiece model; any other can be given to the operators.
+PIECE_MODEL = os.environ.get("TILLFLOW_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,6 +30,13 @@ def new_index(spark: SparkSession) -> dedup.DigestIndex:
     return dedup.DigestIndex(spark, name, f"{scratch_dir(spark)}/{name}")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score(table(spark, sf_dir, "documents"), LanguageModel())
+    return found.select(
+        "doc_id", "n_words", "n_backed_off", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 4).alias("mean_log_score")
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -52,6 +66,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode(table(spark, sf_dir, "documents"), PieceModel.load(PIECE_MODEL))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "exact", "ids")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), Join(n=3, percent=90))
 
@@ -64,9 +83,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
@@ -75,6 +96,31 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
+    "op1_lm_scoring": f"""
+        WITH d AS (
+            SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+        ), tokens AS (
+            SELECT doc_id, p, w[p] AS w1, CASE WHEN p > 1 THEN w[p - 1 : p] END AS w2, CASE WHEN p > 2 THEN w[p - 2 : p] END AS w3,
+                   CASE WHEN p > 1 THEN w[p - 1] END AS v1, CASE WHEN p > 2 THEN w[p - 2 : p - 1] END AS v2
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)
+        ), c1 AS (SELECT w1 AS g, count(*) AS n FROM tokens GROUP BY g),
+        c2 AS (SELECT w2 AS g, count(*) AS n FROM tokens WHERE w2 IS NOT NULL GROUP BY g HAVING n > 1),
+        c3 AS (SELECT w3 AS g, count(*) AS n FROM tokens WHERE w3 IS NOT NULL GROUP BY g HAVING n > 1),
+        scored AS (
+            SELECT doc_id,
+                   CASE WHEN c3.n > 0 THEN ln(c3.n / b2.n) WHEN c2.n > 0 THEN ln(c2.n / b1.n)
+                        ELSE ln(c1.n / (SELECT count(*) FROM tokens)) END AS s,
+                   CASE WHEN c3.n > 0 THEN 0 WHEN c2.n > 0 THEN least(p, 3) - 2 ELSE least(p, 3) - 1 END AS back
+            FROM tokens JOIN c1 ON c1.g = w1 LEFT JOIN c2 ON c2.g = w2 LEFT JOIN c3 ON c3.g = w3
+            LEFT JOIN c1 b1 ON b1.g = v1 LEFT JOIN c2 b2 ON b2.g = v2
+        ), sums AS (
+            SELECT doc_id, count(*) AS n_words, sum(back > 0)::BIGINT AS n_backed_off, sum(s + back * ln(0.4)) AS log_score
+            FROM scored GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backed_off, 0)::BIGINT AS n_backed_off,
+               round(coalesce(log_score, 0), 3) AS log_score, round(log_score / n_words, 4) AS mean_log_score
+        FROM documents LEFT JOIN sums USING (doc_id)
+    """,
     "op2_decontamination": f"""
         WITH i AS (
             SELECT item_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark
