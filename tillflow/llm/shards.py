@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.session import written
 
 #: Most intervals of the cumulative size that the driver holds at once.
-INTERVALS = 1 << 14
+INTERVALS = 1 << 16
 
 
 def _least_capacity(total: int, shards: int, refine: Callable[[list[tuple[int, int]], int], np.ndarray]) -> list[int]:
@@ -72,23 +73,47 @@ def _least_capacity(total: int, shards: int, refine: Callable[[list[tuple[int, i
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds a partition number and, within the partition, the rows and bytes up to and with each row."""
+    """Adds a partition number, the rows and bytes of the partition up to and with each row, and whether the row is
+    the partition's last of its group."""
     from pyspark import TaskContext
 
-    part, rows, size = TaskContext.get().partitionId(), 0, 0
-    for batch in batches:
-        n = len(batch)
-        sizes = size + np.cumsum(batch.column("size").to_numpy())
-        columns = [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(rows + 1, rows + n + 1)), pa.array(sizes)]
-        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "part", "part_row", "part_end"])
-        rows, size = rows + n, int(sizes[-1]) if n else size
+    part, rows, size, held = TaskContext.get().partitionId(), 0, 0, None
 
+    def numbered(batch: pa.RecordBatch, after: pa.Scalar | None) -> pa.RecordBatch:
+        nonlocal rows, size
+        n, group = len(batch), batch.column("group")
+        last = np.ones(n, bool)
+        last[:-1] = pc.not_equal(group[1:], group[:-1]).to_numpy(zero_copy_only=False)
+        if after is not None:
+            last[-1] = after != group[-1]
+        sizes = size + np.cumsum(batch.column("size").to_numpy())
+        added = [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(rows + 1, rows + n + 1)), pa.array(sizes), pa.array(last)]
+        rows, size = rows + n, int(sizes[-1])
+        return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "part", "part_row", "part_end", "last"])
 
-def _any_of(ranges: list[tuple[int, int]], at: Column) -> Column:
-    out = F.lit(False)
-    for a, b in ranges:
-        out = out | at.between(a, b)
-    return out
+    for batch in batches:
+        if len(batch):
+            if held is not None:
+                yield numbered(held, batch.column("group")[0])
+            held = batch
+    if held is not None:
+        yield numbered(held, None)
+
+
+def _intervals(ranges: list[tuple[int, int]], width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and last end of each step that has one within the ranges, for each task."""
+    seen: dict[int, list[int]] = {}
+    lows, highs = (np.array(x) for x in zip(*ranges, strict=True))
+    for batch in batches:
+        ends = batch.column("end").to_numpy()
+        near = np.searchsorted(lows, ends, "right") - 1
+        ends = ends[(near >= 0) & (ends <= highs[near])]
+        for step, end in zip((ends // width).tolist(), ends.tolist(), strict=True):
+            known = seen.setdefault(step, [end, end])
+            known[0], known[1] = min(known[0], end), max(known[1], end)
+    if seen:
+        first, last = zip(*seen.values(), strict=True)
+        yield pa.RecordBatch.from_pydict({"first": pa.array(first, pa.int64()), "last": pa.array(last, pa.int64())})
 
 
 def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
@@ -103,7 +128,8 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     Returns ``doc_id, size, text_crc32, shard, slot``, with slots from 0 within each shard.
 
     One range shuffle of narrow rows orders the groups, and splits a group of any size over tasks. The driver holds
-    one row for each of its partitions, at most ``shards`` large groups and 16,384 intervals of the cumulative size.
+    one row for each of its partitions, at most ``shards`` large groups, and the intervals of the cumulative size
+    that the search looks at: about 65,000, whatever the number of groups.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = written(
@@ -116,14 +142,13 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     )
     spark = docs.sparkSession
     total = rows.agg(F.sum("size")).first()[0] or 0
-    large = rows.groupBy("group").agg(F.sum("size").alias("size")).orderBy(F.desc("size"), "group").limit(shards).collect()
+    by_group = rows.groupBy("group").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     alone, rest = [], total
-    for row in large:
-        if len(alone) < shards - 1 and row["size"] * (shards - len(alone)) > rest:
-            alone.append(row)
-            rest -= row["size"]
-        else:
+    for row in by_group.orderBy(F.desc("size"), "group").limit(shards).collect():
+        if len(alone) == shards - 1 or row["size"] * (shards - len(alone)) <= rest:
             break
+        alone.append(row)
+        rest -= row["size"]
     place = F.lit(len(alone))
     for i, row in enumerate(alone):
         place = F.when(F.col("group") == F.lit(bytes(row["group"])), i).otherwise(place)
@@ -131,44 +156,45 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     order = ["place", "group", "doc_id"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.withColumn("place", place).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    schema = "doc_id long, size long, text_crc32 long, group binary, place int, part int, part_row long, part_end long"
+    schema = "doc_id long, size long, text_crc32 long, group binary, place int, part int, part_row long, part_end long, last boolean"
     ordered = written(ordered.mapInArrow(_running, schema))
 
-    sums = ordered.groupBy("part").agg(F.max("part_row").alias("rows"), F.max("part_end").alias("bytes")).orderBy("part").collect()
+    # A few values of every partition: what lies before it, and whether its last group goes on in the next one.
+    edge = F.struct("place", "group")
+    known = ordered.groupBy("part").agg(
+        F.max("part_row").alias("rows"), F.max("part_end").alias("bytes"), F.min(edge).alias("low"), F.max(edge).alias("high")
+    ).orderBy("part").collect()
     offsets, row0, byte0 = [], 0, 0
-    for s in sums:
-        offsets.append((s["part"], row0, byte0))
-        row0, byte0 = row0 + s["rows"], byte0 + s["bytes"]
-    before = spark.createDataFrame(offsets, "part int, rows_before long, bytes_before long")
+    for i, k in enumerate(known):
+        goes_on = i + 1 < len(known) and known[i + 1]["low"] == k["high"]
+        offsets.append((k["part"], row0, byte0, k["rows"] if goes_on else 0))
+        row0, byte0 = row0 + k["rows"], byte0 + k["bytes"]
+    before = spark.createDataFrame(offsets, "part int, rows_before long, bytes_before long, goes_on long")
     placed = ordered.join(F.broadcast(before), "part").select(
-        "doc_id", "size", "text_crc32", "group", "place",
+        "doc_id", "size", "text_crc32", "place",
         (F.col("rows_before") + F.col("part_row")).alias("row"),
         (F.col("bytes_before") + F.col("part_end")).alias("end"),
+        (F.col("last") & (F.col("goes_on") != F.col("part_row"))).alias("last"),
     )
-    # One row for each group, and none for those that have a shard of their own.
     first_end = total - rest
-    ends = written(
-        placed.where(F.col("place") == len(alone)).groupBy("group").agg(
-            (F.max("end") - first_end).alias("end"), F.max("row").alias("row")
-        ).orderBy("end")
-    )
+    ends = placed.where(F.col("last") & (F.col("place") == len(alone))).select((F.col("end") - first_end).alias("end"), "row")
 
     def refine(ranges: list[tuple[int, int]], width: int) -> np.ndarray:
-        step = F.floor(F.col("end") / width) if width > 1 else F.col("end")
-        found = ends.where(_any_of(ranges, F.col("end"))).groupBy(step.alias("s")).agg(F.min("end").alias("a"), F.max("end").alias("b"))
-        got = np.array([[r["a"], r["b"]] for r in found.collect()], np.int64).reshape(-1, 2)
+        found = ends.select("end").mapInArrow(lambda batches: _intervals(ranges, width, batches), "first long, last long").collect()
+        # Tasks hold disjoint runs of the order, so that only an interval on their border comes twice.
+        got = np.array([[r["first"], r["last"]] for r in found], np.int64).reshape(-1, 2)
         return got[np.argsort(got[:, 0])]
 
     cuts = _least_capacity(rest, shards - len(alone), refine) if rest else []
+    at_cut = {r["end"]: r["row"] for r in ends.where(F.col("end").isin(cuts[:-1])).collect()} if cuts[:-1] else {}
     starts = [(0, 0)]  # of each shard: bytes and rows before it
     for row in alone:
-        starts.append((starts[-1][0] + row["size"], 0))
-    starts += [(first_end + c, 0) for c in cuts[:-1]]
+        starts.append((starts[-1][0] + row["size"], starts[-1][1] + row["rows"]))
+    starts += [(first_end + c, at_cut[c]) for c in cuts[:-1]]
     number = F.lit(0)
     for start, _ in starts[1:]:
         number = number + (F.col("end") > start).cast("int")
-    dealt = placed.withColumn("shard", number)
-    firsts = dealt.groupBy("shard").agg(F.min("row").alias("first_row"))
-    return dealt.join(F.broadcast(firsts), "shard").select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("row") - F.col("first_row")).alias("slot")
+    first_row = F.array(*[F.lit(r).cast("long") for _, r in starts])
+    return placed.withColumn("shard", number).select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("row") - 1 - F.element_at(first_row, F.col("shard") + 1)).alias("slot")
     )
