@@ -13,6 +13,7 @@ from tillflow.llm import decontaminate, dedup, language, shards
 from tillflow.llm.jaccard import Join, near_classes
 from tillflow.llm.lm import LanguageModel, score
 from tillflow.llm.pieces import PieceModel, encode
+from tillflow.llm.quality import score_quality
 from tillflow.session import scratch_dir
 
 
@@ -75,6 +76,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), Join(n=3, percent=90))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language.remainder(F.col("doc_id"), 3) == 1
+    found, _ = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language.remainder(F.col("doc_id"), 4) == 2
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }
 
