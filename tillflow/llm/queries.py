@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import decontaminate, dedup, language, shards
+from tillflow.llm import decontaminate, dedup, language, pii, shards
 from tillflow.llm.jaccard import Join, near_classes
 from tillflow.llm.lm import LanguageModel, score
 from tillflow.llm.pieces import PieceModel, encode
@@ -76,6 +76,18 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), Join(n=3, percent=90))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < pii.KINDS.index("term"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.remainder(F.col("doc_id"), 3) == 1
     found, _ = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -96,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
 }
