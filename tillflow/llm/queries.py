@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import decontaminate, dedup, language, pii, shards
+from tillflow.llm import decontaminate, dedup, language, pii, shards, wrappers
 from tillflow.llm.jaccard import Join, near_classes
 from tillflow.llm.lm import LanguageModel, score
 from tillflow.llm.pieces import PieceModel, encode
@@ -62,6 +62,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.deduplicate(table(spark, sf_dir, "documents"), new_index(spark))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_html_extraction": op4_html_extraction,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
