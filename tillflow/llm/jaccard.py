@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -166,15 +166,13 @@ def linked(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame,
 
     Returns three written tables: ``doc_id, n_shingles, node`` for every row (``node`` is the smallest id with the
     same set, null without words or id); ``node, component`` for nodes that have links; ``a, b`` with the links
-    that were verified. The links are enough to connect whatever is connected: a pair of different sets that links
-    is verified unless its sets are connected already.
+    that were verified. They are enough to connect whatever any links connect; sets that are connected anyway are not
+    compared with each other.
 
     A set is the distinct ``n``-word shingles of the text, or the whole sequence if it has fewer words. Two linked
     sets differ in few shingles, so when the universe is cut into one segment more than that, they agree on one.
     Sets are indexed by the shingles they have in each segment, under the segments of their size band. Equal
-    entries make candidates: in every bucket the members are verified against a few pivots first, and later rounds
-    take twice as many pivots, leaving out members that are connected by then. So a large group of near copies costs
-    as many candidates as it has members, and nothing is left out.
+    entries make buckets of candidates, which are verified against pivots (see ``_connected``).
 
     A null text has no words. Rows that repeat a ``doc_id`` count as one document. Other columns are ignored.
     """
@@ -190,62 +188,81 @@ def linked(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFrame,
 
     bucket = Window.partitionBy("signature").orderBy("node")
     entries = _entries(docs, join, plan).select(
-        "signature", "node", F.row_number().over(bucket).alias("place"), F.lead("node").over(bucket).alias("after")
+        "signature", "node", F.lag("node").over(bucket).alias("before"), F.lead("node").over(bucket).alias("after")
     )
-    buckets = written(entries.where("place > 1 OR after IS NOT NULL").select("signature", "node", "place"))
-
-    nodes = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    nodes = written(nodes)
+    buckets = written(entries.where("before IS NOT NULL OR after IS NOT NULL").select(F.col("signature").alias("bucket"), "node"))
+    nodes = written(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("node")))
     members = written(_texts(docs, join, buckets.select("node").distinct()))
-    links, parts, low, count = None, None, 1, 1
-    while True:
-        # Pivots have places low to low + count - 1; a pair is tried when the first of its two is a pivot.
-        open_rows = buckets if parts is None else _unsettled(buckets, parts)
-        open_rows = open_rows if "part" in open_rows.columns else open_rows.withColumn("part", F.col("node"))
-        open_rows = written(open_rows.where(F.col("place") >= low))
-        if open_rows.isEmpty():
-            break
-        pivots = open_rows.where(F.col("place") < low + count).select(
-            "signature", F.col("node").alias("a"), F.col("place").alias("a_place"), F.col("part").alias("a_part")
-        )
-        pairs = (
-            open_rows.join(pivots, "signature")
-            .where("place > a_place AND part <> a_part")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-            .distinct()
-        )
-        found = written(_verified(pairs, members, join))
-        links = found if links is None else links.unionByName(found)
-        parts = written(components(links))
-        low, count = low + count, 2 * count
-    doc_nodes = sets.join(nodes, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
-    empty = docs.sparkSession.createDataFrame([], "a long, b long")
-    return doc_nodes, parts if parts is not None else empty.toDF("node", "component"), links if links is not None else empty
-
-
-def _unsettled(buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of buckets whose members are not all connected yet, with the component of each."""
-    known = buckets.join(parts.withColumnRenamed("component", "part"), "node", "left")
-    known = known.withColumn("part", F.coalesce("part", "node"))
-    several = known.groupBy("signature").agg(F.min("part").alias("one"), F.max("part").alias("two")).where("one <> two")
-    return known.join(several.select("signature"), "signature", "left_semi").select("signature", "node", "place", "part")
+    links, parts = _connected(buckets, members, join)
+    node = F.when(F.col("doc_id").isNotNull(), F.col("node"))
+    return sets.join(nodes, ["k1", "k2"], "left").select("doc_id", "n_shingles", node.alias("node")), parts, links
+
+
+def _connected(buckets: DataFrame, members: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """Verified links that connect whatever is connected by links within buckets, and the components.
+
+    In every bucket all members are verified against one of them, the pivot p. What remains are links between two
+    others, x and y. With ``a(x)`` the shingles in which x differs from p and ``b(x) = a(x) - k |x|``, where
+    ``k = (100 - percent) / (100 + percent)``, they link exactly if their differences from p have
+    ``(b(x) + b(y)) / 2`` elements in common. If that is nothing, both link to p. Else they share an element of the
+    first ``a - o + 1`` in a fixed order, if they must share o; what p lacks comes first, as it is rare. The one with
+    the smaller b shares b(y) at least, which leaves a short prefix; the other one cannot be further from it than what
+    the smaller can have in common with it. So near copies meet again only if they differ from the pivot in the same
+    way, and a large group costs about as many candidates as it has members. The pivot is the member whose shingles
+    most candidates have, as far as a sixteenth of the shingles tells; any other would give the same links.
+    """
+    sampled = members.select("node", F.explode(F.filter("elements", lambda e: e.bitwiseAND(15) == 0)).alias("shingle"))
+    common = sampled.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    central = written(sampled.join(common, "shingle").groupBy("node").agg(F.avg("n").alias("weight")))
+    ranked = buckets.join(central, "node", "left")
+    pivot = F.first("node").over(Window.partitionBy("bucket").orderBy(F.desc_nulls_last("weight"), "node"))
+    pairs = ranked.select("node", pivot.alias("pivot")).where("node <> pivot").distinct()
+    tried = written(_tried(pairs, members, join))
+    links = written(tried.where("linked").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")))
+    parts = written(components(links))
+
+    placed = tried.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # A bucket for each pivot and element; that two of them may share a hash does no harm.
+    role = lambda prefix: placed.select(
+        F.explode(F.transform(prefix, lambda shingle: F.xxhash64("pivot", shingle))).alias("bucket"), "node", "b", "component"
+    )
+    y, x = role("as_smaller"), role("as_larger").toDF("bucket", "other", "other_b", "other_component")
+    meeting = y.join(x, "bucket").where("component <> other_component AND (b < other_b OR b = other_b AND node < other)")
+    candidates = written(meeting.select(F.least("node", "other").alias("pivot"), F.greatest("node", "other").alias("node")).distinct())
+    found = _tried(candidates, members, join).where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    links = written(links.unionByName(found))
+    return links, written(components(links))
 
 
 def _texts(docs: DataFrame, join: Join, nodes: DataFrame) -> DataFrame:
     """``(node, elements)`` of the candidates, from their texts."""
     row = lambda doc_id, elements: (doc_id, elements)
-    wanted = docs.select("doc_id", "text").join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    wanted = docs.select("doc_id", "text").join(written(nodes).withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
     return _map(wanted, join, row, "node elements*").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
-    one = members.select(F.col("node").alias("a"), F.col("elements").alias("of_a"))
-    two = members.select(F.col("node").alias("b"), F.col("elements").alias("of_b"))
-    sized = pairs.join(one, "a").join(two, "b")
-    sizes = F.size("of_a") + F.size("of_b")
-    near = (100 * F.least(F.size("of_a"), F.size("of_b"))) >= join.percent * F.greatest(F.size("of_a"), F.size("of_b"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return sized.where(near).where((100 + join.percent) * common >= join.percent * sizes).select("a", "b")
+def _tried(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
+    """For pairs of ``pivot`` and ``node``: whether they are ``linked``; b of the node, in parts of 100 + percent; and
+    the prefixes of its difference from the pivot as the one with the smaller and with the larger b."""
+    of_node = members.select("node", F.col("elements").alias("own"))
+    of_pivot = members.select(F.col("node").alias("pivot"), F.col("elements").alias("other"))
+    both = pairs.join(of_node, "node").join(of_pivot, "pivot")
+    both = both.withColumn("difference", F.concat(F.array_except("own", "other"), F.array_except("other", "own")))
+    whole, part = 100 + join.percent, 100 - join.percent
+    n, a = F.size("own"), F.size("difference")
+    both = both.withColumn("b", whole * a.cast("long") - part * n)
+    # a <= k (|x| + |p|)
+    linked_now = whole * a <= part * (n + F.size("other"))
+
+    def prefix(least: Column) -> Column:
+        shared = F.greatest(F.ceil(least / F.lit(whole)).cast("int"), F.lit(1))
+        return F.slice("difference", F.lit(1), F.greatest(a - shared + 1, F.lit(0)))
+
+    largest_partner = F.floor(100 * n / F.lit(join.percent))
+    return both.select(
+        "pivot", "node", linked_now.alias("linked"), "b",
+        prefix(F.col("b")).alias("as_smaller"), prefix(F.col("b") - part * largest_partner).alias("as_larger"),
+    )
 
 
 def near_classes(docs: DataFrame, join: Join = Join()) -> DataFrame:
