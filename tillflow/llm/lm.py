@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from tillflow.llm.words import ALNUM, chunks, mixed, words
 from tillflow.session import written
 
 #: UTF-8 bytes of the texts whose n-grams are counted together before they are shuffled.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Entries of the count table that one group of the merge holds on average.
 BUCKET_KEYS = 1 << 21
 
@@ -51,20 +52,19 @@ class _Block:
         #: For each order, the count of the n-gram that ends at each word, 0 if unknown or too rare.
         self.counts: list[np.ndarray] = []
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Different n-grams of the order at hand by bucket; how often each occurs here; where buckets begin; and
-        the place of the n-gram that ends at each of the words ``at``."""
-        keys, inverse, n = np.unique(self.grams[self.at], return_inverse=True, return_counts=True)
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different n-grams of the order at hand by bucket, how often each occurs here, and where buckets begin."""
+        keys, self.inverse, n = np.unique(self.grams[self.at], return_inverse=True, return_counts=True)
         # Buckets are ranges of keys, which are hashes.
         edges = (np.arange(1, self.buckets, dtype=np.float64) * (2.0**64 / self.buckets)).astype(np.uint64)
-        first = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
-        return keys, n, first, inverse
+        return keys, n, np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
-    def learn(self, totals: np.ndarray) -> None:
-        """Takes the corpus counts of ``keys()`` and goes on to the next order."""
-        _, _, _, inverse = self.keys()
+    def learn(self, rows: list[bytes]) -> None:
+        """Takes the corpus counts of the n-grams of the order at hand, bucket by bucket, and goes on to the next order."""
+        _, _, first = self.keys()
+        totals = np.concatenate([_unpacked_counts(r, int(n)) for r, n in zip(rows, np.diff(first), strict=True)])
         count = np.zeros(len(self.hashes), np.int64)
-        found = totals[inverse]
+        found = totals[self.inverse]
         count[self.at] = np.where(found >= (self.model.min_count if self.order > 1 else 1), found, 0)
         self.counts.append(count)
         self.order += 1
@@ -94,30 +94,46 @@ class _Block:
         return total(log), total(used == 1), total(back > 0)
 
 
-def _binary(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Increasing numbers as differences, byte by byte, so that the high bytes, mostly zero, compress away."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _known(block: _Block, totals: pa.Table | None) -> _Block:
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count; those from 255 on follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def _unpacked_counts(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data[n:], np.int64)
+    return counts
+
+
+def _known(block: _Block, totals: pa.Table) -> _Block:
     """Hands the block its totals, order by order."""
-    if totals is not None and totals.num_rows:
-        rows = sorted(zip(*(totals.column(c).to_pylist() for c in ("gram_order", "bucket", "totals")), strict=True), key=lambda r: r[:2])
-        for order in sorted({r[0] for r in rows}):
-            block.learn(np.concatenate([np.frombuffer(r[2], np.uint64) for r in rows if r[0] == order]).astype(np.int64))
+    rows = sorted(zip(*(totals.column(c).to_pylist() for c in ("gram_order", "bucket", "totals")), strict=True), key=lambda r: r[:2])
+    for order in sorted({r[0] for r in rows}):
+        block.learn([r[2] for r in rows if r[0] == order])
     return block
 
 
 def _merge(table: pa.Table) -> pa.Table:
     """Adds up the counts of a bucket's keys over all blocks, and gives each block the sums of its own keys."""
-    keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-    counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]
+    keys = [_unpacked_keys(k) for k in table.column("keys").to_pylist()]
+    counts = [_unpacked_counts(c, len(k)) for c, k in zip(table.column("counts").to_pylist(), keys, strict=True)]
     different, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     # The sums of whole numbers are exact in a double up to 2**53.
-    sums = np.bincount(inverse, np.concatenate(counts), len(different)).astype(np.uint64)
-    split = np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])
+    sums = np.bincount(inverse, np.concatenate(counts), len(different)).astype(np.int64)[inverse]
+    split = np.split(sums, np.cumsum([len(k) for k in keys])[:-1])
     return pa.table({
         "block": table.column("block"), "gram_order": table.column("gram_order"), "bucket": table.column("bucket"),
-        "totals": pa.array([_binary(s) for s in split], pa.binary()),
+        "totals": pa.array(map(_packed_counts, split), pa.binary()),
     })
 
 
@@ -148,8 +164,8 @@ def score(docs: DataFrame, model: LanguageModel = LanguageModel(), block_bytes:
     key_schema = "bucket long, block long, gram_order int, keys binary, counts binary"
 
     def sent(number: int, block: _Block) -> pa.Table:
-        keys, n, first, _ = block.keys()
-        rows = [(b, _binary(keys[first[b] : first[b + 1]]), _binary(n[first[b] : first[b + 1]].astype(np.uint32))) for b in range(buckets)]
+        keys, n, first = block.keys()
+        rows = [(b, _packed_keys(keys[low:high]), _packed_counts(n[low:high])) for b, (low, high) in enumerate(pairwise(first))]
         return pa.table({
             "bucket": pa.array([r[0] for r in rows], pa.int64()), "block": pa.array([number] * len(rows), pa.int64()),
             "gram_order": pa.array([block.order] * len(rows), pa.int32()),
