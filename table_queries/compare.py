@@ -15,7 +15,7 @@ from table_queries.queries import OPTIONS, REGISTERED
 from tillflow.options import GroupLimits
 
 
-CUT = GroupLimits(max_rows=10, max_keys=200, max_blocks=64, sample_fraction=1.0, small_input_bytes=0)
+CUT = GroupLimits(max_rows=10)
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

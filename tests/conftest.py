@@ -35,4 +35,4 @@ def small_limits():
     """Limits so low that tiny groups are cut, salted and put together again."""
     from tillflow.options import GroupLimits
 
-    return GroupLimits(max_rows=4, max_keys=50, max_blocks=40, sample_fraction=1.0, small_input_bytes=0)
+    return GroupLimits(max_rows=4)

@@ -175,10 +175,28 @@ def test_aggregates_follow_the_order(spark):
     assert tuple(got.first()) == ("a", "z", None, "z", 3)
 
 
-def test_copies_of_one_row_are_spread(spark, small_limits):
-    df = spark.range(0, 400, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("x"))
-    right = spark.createDataFrame([("hot", 5)], "k string, w int")
-    out = groups.lookup(df, right, ["k"], "left", small_limits, nulls_match=False)
-    assert out.where("w = 5").count() == 400
-    salted = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "SPARK_PARTITION_ID" in salted
+def test_a_hot_key_is_split_by_adaptive_execution(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+        right = spark.range(60_000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("w")).unionByName(spark.createDataFrame([("hot", 5)], "k string, w int"))
+        out = groups.lookup(df, right, ["k"], "left", nulls_match=False)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.where("w = 5").count() == 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_exact_sums_in_netting(spark):
+    rows = [("a", i, 60.0) for i in range(3000)] + [("a", 4000, 0.1), ("a", 4001, 0.3), ("a", 4002, -0.2)]
+    df = spark.createDataFrame(rows, "k string, n int, qty double")
+    got = {r["n"]: r["qty"] for r in ordered.net_latest_first(df, ["k"], ["n"], "qty").collect()}
+    assert got[4000] == 0.1 and got[4001] == 0.1 and got[2999] == 60.0

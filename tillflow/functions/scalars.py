@@ -79,13 +79,12 @@ def month_label(d: Column) -> Column:
 
 
 def week_label_short(d: Column) -> Column:
-    return F.concat_ws(
-        "-", F.extract(F.lit("WEEK"), d).cast("string"), F.extract(F.lit("YEAROFWEEK"), d).cast("string")
-    )
+    week, year = F.extract(F.lit("WEEK"), d), F.extract(F.lit("YEAROFWEEK"), d)
+    return F.concat(week.cast("string"), F.lit("-"), year.cast("string"))
 
 
 def month_label_short(d: Column) -> Column:
-    return F.concat_ws("-", F.month(d).cast("string"), F.year(d).cast("string"))
+    return F.concat(F.month(d).cast("string"), F.lit("-"), F.year(d).cast("string"))
 
 
 def calendar(d: Column) -> dict[str, Column]:

@@ -68,8 +68,8 @@ def main(argv: list[str] | None = None) -> None:
         else:
             report = daily(spark, args.snapshots, spark.read.parquet(args.stores), day, args.literal)
             rows = publish({"daily_invoice": report}, args.out, day, clean=False)
-            # One row per store of the chain.
-            invoices_per_store(report).orderBy(F.desc("invoices")).show(100, truncate=False)
+            stores = invoices_per_store(report).withColumn("date", F.lit(day))
+            stores.write.mode("overwrite").partitionBy("date").parquet(f"{args.out}/invoices_per_store")
         log_run(spark, args.out, args.job, day, rows)
         print(json.dumps({"status": "success", "date": str(day), "rows": rows}))
     except Exception as error:

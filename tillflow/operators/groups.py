@@ -2,13 +2,10 @@
 
 A window or a join keyed by bill sends all rows of a bill to one task. That is what
 we want for nearly all bills, and fails for one that holds a large part of the data.
-So hot keys are found from a sample, and only those are treated apart:
-
-* ordered work range-partitions them into blocks of consecutive rows, works inside the
-  blocks and carries a few values per block across (``OrderedGroups``);
-* joins spread them over several salts (``lookup``).
-
-A hot key the sample misses costs time, never a wrong result.
+Joins (``lookup``) leave hot keys to adaptive execution. Ordered work (``OrderedGroups``)
+counts the rows of every key of its written input, range-partitions the keys with many rows
+into blocks of consecutive rows, works inside the blocks and carries a few values per block
+across.
 """
 
 from __future__ import annotations
@@ -19,42 +16,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillflow.options import GroupLimits
-from tillflow.session import input_bytes, written
+from tillflow.session import written
 
-BLOCK, HOT, KEY_HASH, SALT = "_block", "_hot", "_key_hash", "_salt"
+BLOCK, HOT, KEY_HASH = "_block", "_hot", "_key_hash"
 
 
 def key_hash(keys: Sequence[str | Column]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limits: GroupLimits) -> dict[int, int]:
-    """Hashes of the hot keys and their estimated row counts; empty for small inputs.
-
-    The list has at most ``limits.max_keys`` entries.
-    """
-    if input_bytes(df) <= limits.small_input_bytes:
-        return {}
-    part = df.select(key_hash(keys).alias("k"))
-    if limits.sample_fraction < 1:
-        part = part.sample(limits.sample_fraction, seed=7)
-    rows = (
-        part.groupBy("k")
-        .count()
-        .where(F.col("count") > limits.max_rows * limits.sample_fraction)
-        .orderBy(F.desc("count"), "k")
-        .limit(limits.max_keys)
-        .collect()
-    )
-    return {r["k"]: math.ceil(r["count"] / limits.sample_fraction) for r in rows}
-
-
-def _pieces(rows: int, limits: GroupLimits) -> int:
-    """Into how many pieces of about ``max_rows`` rows to cut."""
-    return max(2, min(limits.max_blocks, math.ceil(rows / limits.max_rows)))
+def hot_keys(df: DataFrame, keys: Sequence[str], limits: GroupLimits) -> DataFrame:
+    """Hashes of the keys with more than ``limits.max_rows`` rows, and their row counts."""
+    counts = df.groupBy(key_hash(keys).alias(KEY_HASH)).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > limits.max_rows)
 
 
 def null_safe_join(
@@ -76,36 +52,13 @@ def lookup(
     how: str = "left",
     limits: GroupLimits | None = None,
     nulls_match: bool = True,
-    hot: dict[int, int] | None = None,
 ) -> DataFrame:
     """Join ``left``, in which a key may be hot, to ``right``; null keys match null unless told not to.
 
-    ``how`` keeps or filters left rows: left, inner, left_semi or left_anti. Left rows of
-    a hot key are spread over salts and the right rows of that key repeated once per salt.
-    The salt comes from the row's values and its input partition: a task that is run again
-    gives the same salts, and copies of a row are spread too. ``hot`` saves looking for hot
-    keys if the caller knows them.
+    ``how`` keeps or filters left rows: left, inner, left_semi or left_anti. For these, adaptive execution splits the
+    left rows of a hot key over tasks.
     """
-    limits = limits or GroupLimits()
-    hot = hot_keys(left, on, limits) if hot is None else hot
-    if not hot:
-        return null_safe_join(left, right, on, how, nulls_match)
-    per_salt = math.ceil(sum(hot.values()) / _pieces(sum(hot.values()), limits))
-    salts = left.sparkSession.createDataFrame(
-        [(k, math.ceil(n / per_salt)) for k, n in hot.items()], f"{KEY_HASH} bigint, _salts int"
-    )
-
-    def with_salts(df: DataFrame) -> DataFrame:
-        # At most max_keys rows: a fixed bound, whatever the input.
-        return df.withColumn(KEY_HASH, key_hash(on)).join(F.broadcast(salts), KEY_HASH, "left").drop(KEY_HASH)
-
-    every = [F.col(c) for c in left.columns if not isinstance(left.schema[c].dataType, T.MapType)]
-    place = F.xxhash64(*every, F.spark_partition_id())
-    spread = F.when(F.col("_salts").isNotNull(), F.pmod(place, F.col("_salts").cast("bigint")))
-    left = with_salts(left).withColumn(SALT, F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_salts")
-    copies = F.sequence(F.lit(0).cast("bigint"), (F.coalesce("_salts", F.lit(1)) - 1).cast("bigint"))
-    right = with_salts(right).withColumn(SALT, F.explode(copies)).drop("_salts")
-    return null_safe_join(left, right, [*on, SALT], how, nulls_match).drop(SALT)
+    return null_safe_join(left, right, on, how, nulls_match)
 
 
 def order_key(order: Sequence[str]) -> Column:
@@ -129,20 +82,21 @@ class OrderedGroups:
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], limits: GroupLimits | None = None):
         self.keys, self.order, self.limits = list(keys), list(order), limits or GroupLimits()
-        hot = hot_keys(df, self.keys, self.limits)
-        self.split = bool(hot)
-        self.df = df
+        # Written, so that counting the keys does not compute the input a second time.
+        self.df = df = written(df)
+        hot = written(hot_keys(df, self.keys, self.limits))
+        rows = hot.agg(F.sum("_rows")).first()[0]
+        self.split = rows is not None
         if self.split:
             df = df.withColumn(KEY_HASH, key_hash(self.keys))
-            is_hot = F.col(KEY_HASH).isin(list(hot))
             in_order = [F.asc_nulls_last(c) for c in self.order]
             cut = (
-                df.where(is_hot)
-                .repartitionByRange(_pieces(sum(hot.values()), self.limits), KEY_HASH, *in_order)
+                df.join(hot, KEY_HASH, "left_semi")
+                .repartitionByRange(max(2, math.ceil(rows / self.limits.max_rows)), KEY_HASH, *in_order)
                 .withColumn(BLOCK, F.spark_partition_id())
             )
             cut = written(cut).withColumn(HOT, F.lit(True))
-            rest = df.where(~is_hot).withColumns({BLOCK: F.lit(0), HOT: F.lit(False)})
+            rest = df.join(hot, KEY_HASH, "left_anti").withColumns({BLOCK: F.lit(0), HOT: F.lit(False)})
             self.df = cut.unionByName(rest).drop(KEY_HASH)
 
     @property
@@ -157,12 +111,12 @@ class OrderedGroups:
         """Add to each row values computed over the blocks of its group.
 
         ``per_block`` aggregates one row per block of the hot groups; ``across`` are window
-        expressions over those rows (see ``blocks``). The rows joined back are bounded by
-        the number of blocks and of hot keys.
+        expressions over those rows (see ``blocks``). The rows joined back are one for each
+        block, and a block is of a size that one task can take.
         """
         blocks = df.where(HOT).groupBy(*self.block_keys).agg(*[c.alias(n) for n, c in per_block.items()])
         carried = blocks.select(*self.block_keys, *[c.alias(n) for n, c in across.items()])
-        return null_safe_join(df, F.broadcast(carried), self.block_keys, "left")
+        return null_safe_join(df, carried, self.block_keys, "left")
 
     def blocks(self, descending: bool = False) -> WindowSpec:
         way = F.desc if descending else F.asc

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from tillflow.schemas import columns
 
-TOPPING = columns("item_name string, price double, quantity double, unit_id string")
+# Feeds send numbers as text, too; they are cast after parsing.
+TOPPING = columns("item_name string, price string, quantity string, unit_id string")
 ITEM = T.StructType(TOPPING.fields + [T.StructField("toppings", T.ArrayType(TOPPING))])
 GUEST = columns(
     "peo_count int, customer_phone string, customer_name string, Membership_Type_Name string"
@@ -27,7 +28,7 @@ CHANGE_DATA = T.StructType(
         T.StructField("sale_detail", T.ArrayType(ITEM)),
     ]
 )
-REMOVED = T.ArrayType(columns("item_name string, quantity double, unit_id string, note string"))
+REMOVED = T.ArrayType(columns("item_name string, quantity string, unit_id string, note string"))
 
 
 @F.pandas_udf(T.StringType())
@@ -66,15 +67,18 @@ def order_lines(items: Column) -> Column:
             F.lit(kind).alias("kind"),
             x["item_name"].alias("item"),
             parent.alias("parent_item"),
-            x["price"].alias("price"),
+            x["price"].try_cast("double").alias("price"),
             qty.alias("qty"),
             x["unit_id"].alias("unit"),
         )
 
+    def qty_of(x: Column) -> Column:
+        return x["quantity"].try_cast("double")
+
     def lines(i: Column) -> Column:
-        main = F.array(line("MAIN", i, i["quantity"], F.lit(None).cast("string")))
+        main = F.array(line("MAIN", i, qty_of(i), F.lit(None).cast("string")))
         extra = F.transform(
-            i["toppings"], lambda t: line("TOPPING", t, F.coalesce(t["quantity"], i["quantity"]), i["item_name"])
+            i["toppings"], lambda t: line("TOPPING", t, F.coalesce(qty_of(t), qty_of(i)), i["item_name"])
         )
         return F.when(i["toppings"].isNotNull(), F.concat(main, extra)).otherwise(main)
 
@@ -100,7 +104,7 @@ def flatten_removed(log: DataFrame, items: Column, keep: Sequence[str | Column])
     rows = rows.select(
         *[c for c in rows.columns if c != "_line"],
         F.col("_line.item_name").alias("item"),
-        F.col("_line.quantity").alias("qty"),
+        F.col("_line.quantity").try_cast("double").alias("qty"),
         F.col("_line.unit_id").alias("unit"),
         F.col("_line.note").alias("reason"),
     )

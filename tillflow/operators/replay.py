@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.groups import BLOCK, HOT, OrderedGroups, lookup, order_key
-from tillflow.operators.ordered import fill
+from tillflow.operators.ordered import PARTS, fill, in_parts
 from tillflow.options import CHANGE, SPLIT, GroupLimits
-from tillflow.session import settled, written
+from tillflow.session import written
 
 PUSH, VOID, STAY = 0, 1, 2
 EVENT = ["root", "time", "child_id", "child_no"]
@@ -51,9 +51,6 @@ PIECES = (
 )
 LEVELS = f"root string, item string, {BLOCK} int, shift double, low double, high double"
 
-# Quantities have a few decimals; anything smaller is rounding of doubles.
-DUST = 1e-9
-
 
 def _rows(batches: Iterator[pd.DataFrame], cols: list[str]) -> Iterator[tuple]:
     for batch in batches:
@@ -96,7 +93,7 @@ def _block_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _take(stock: list[tuple], level: float, target: float) -> Iterator[tuple]:
     """Remove the units above ``target``: ``(low, high, line)`` ranges, line None below the stock."""
-    while level - target > DUST:
+    while level > target:
         if not stock:
             yield target, level, None
             return
@@ -219,12 +216,12 @@ def _stock_moves(lines: DataFrame, order: list[str], limits: GroupLimits) -> tup
         named.select(*cleared.columns)
         .unionByName(cleared)
         .groupBy(*here, "child_id", "child_no")
-        .agg(F.abs(F.sum("qty")).alias("qty"))
+        .agg(F.abs(in_parts(F.sum("qty"))).alias("qty"))
     )
     moves = own.select(
         *here,
         F.when(F.col("qty") > 0, PUSH).otherwise(VOID).alias("op"),
-        F.abs("qty").alias("qty"),
+        F.abs(in_parts(F.col("qty"))).alias("qty"),
     ).unionByName(stays.select(*here, F.lit(STAY).alias("op"), "qty"))
     return moves, events
 
@@ -258,11 +255,9 @@ def _match_ranges(pieces: DataFrame, limits: GroupLimits) -> DataFrame:
     overlap, so a range takes from each block pieces of at most its own width.
     """
     sizes = pieces.groupBy("root", "item").agg(F.count("*").alias("n"), F.max("high").alias("top"))
-    large = sizes.where(F.col("n") > limits.max_rows).orderBy(F.desc("n")).limit(limits.max_keys).collect()
-    rows = max(limits.max_rows, sum(r["n"] for r in large) // limits.max_blocks)
     # Powers of two, so that dividing by the width is exact.
-    widths = [(r["root"], r["item"], 2.0 ** math.ceil(math.log2(r["top"] * rows / r["n"]))) for r in large]
-    widths = pieces.sparkSession.createDataFrame(widths, "root string, item string, _width double")
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("top") * limits.max_rows / F.col("n"))))
+    widths = sizes.where(F.col("n") > limits.max_rows).select("root", "item", width.alias("_width"))
     low, high, width = F.col("low"), F.col("high"), F.col("_width")
     spans = F.sequence(F.floor(low / width), F.greatest(F.ceil(high / width) - 1, F.floor(low / width)))
     floor = F.col("_range") * width
@@ -279,8 +274,8 @@ def _match_ranges(pieces: DataFrame, limits: GroupLimits) -> DataFrame:
 
 
 def lookup_small(df: DataFrame, small: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Join to a list of at most ``max_keys`` (root, item) pairs."""
-    small = F.broadcast(small.withColumnsRenamed({"root": "_root", "item": "_item"}))
+    """Join to a list of the hot (root, item) pairs."""
+    small = small.withColumnsRenamed({"root": "_root", "item": "_item"})
     same = (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item"))
     joined = df.join(small, same, how)
     return joined.drop("_root", "_item") if how == "left" else joined
@@ -313,18 +308,17 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
     lines = written(lines)
 
     moves, events = _stock_moves(lines, order, limits)
-    moves = settled(moves, limits)
     walk = [*position, "op"]
     g = OrderedGroups(moves, ["root", "item"], walk, limits)
     keys = ["root", "item", BLOCK]
     if not g.split:
-        moves = moves.withColumns({BLOCK: F.lit(0), "start": F.lit(0.0)})
+        moves = g.df.withColumns({BLOCK: F.lit(0), "start": F.lit(0.0)})
         pieces = written(_by_group(moves, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
     else:
         levels = _by_group(g.df.where(HOT), keys, walk, ["op", "qty"]).mapInPandas(_block_levels, LEVELS)
         cut = lookup_blocks(g.df, _starts(levels))
         pieces = written(_by_group(cut, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
-        cut_groups = g.df.where(HOT).select("root", "item").distinct()  # at most max_keys rows
+        cut_groups = g.df.where(HOT).select("root", "item").distinct()
         whole, parts = lookup_small(pieces, cut_groups, "left_anti"), lookup_small(pieces, cut_groups)
         matched = _match_ranges(parts.where(F.col("piece") != TAKEN), limits)
         # A line's units taken by one event may lie in several ranges.
@@ -339,9 +333,9 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
 
 
 def lookup_blocks(cut: DataFrame, starts: DataFrame) -> DataFrame:
-    """Add the starting level; one row per block, so the right side is bounded."""
+    """Add the starting level; the right side has one row for each block."""
     names = {"root": "_root", "item": "_item", BLOCK: "_b"}
-    right = F.broadcast(starts.withColumnsRenamed(names))
+    right = starts.withColumnsRenamed(names)
     same = (
         (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item")) & (F.col(BLOCK) == F.col("_b"))
     )
@@ -356,8 +350,8 @@ def _results(
     passed_on = lines.where(~F.col("is_root")).withColumns({"emit": place(), "at_end": F.lit(0)})
     ordered = lines.where("is_root").withColumnsRenamed({"seq": "_seq", "line_no": "_line"}).drop("qty")
     pieces = (
-        pieces.where((F.col("high") - F.col("low") > DUST) & (F.col("piece") != DEEP))
-        .withColumn("qty", F.round(F.col("high") - F.col("low"), 9))
+        pieces.where((F.col("high") > F.col("low")) & (F.col("piece") != DEEP))
+        .withColumn("qty", (F.col("high") - F.col("low")) / PARTS)
         .select("piece", "seq", "line_no", "event_seq", "event_line", "qty")
         .join(ordered, (F.col("seq") == F.col("_seq")) & (F.col("line_no") == F.col("_line")))
         .drop("_seq", "_line")

@@ -43,20 +43,9 @@ TIME_ZONE = "Asia/Ho_Chi_Minh"
 
 @dataclass(frozen=True)
 class GroupLimits:
-    """When a group of rows counts as hot, and how finely it is cut.
-
-    A key with more than ``max_rows`` rows is cut into blocks of about that many rows,
-    into ``max_blocks`` blocks at most for all keys together. At most ``max_keys`` keys
-    are looked at, largest first, so what reaches the driver stays bounded; a key left
-    out holds at most 1/max_keys of the rows. Inputs up to ``small_input_bytes`` cannot
-    hold a group that one task could not take, and are not inspected.
-    """
+    """A group with more than ``max_rows`` rows is cut into blocks of about that many."""
 
     max_rows: int = 1_000_000
-    max_keys: int = 4096
-    max_blocks: int = 32_768
-    sample_fraction: float = 0.001
-    small_input_bytes: int = 64 << 20
 
 
 @dataclass(frozen=True)

@@ -9,25 +9,20 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import scalars as s
 from tillflow.operators import nested
-from tillflow.operators.groups import hot_keys, lookup, null_safe_join
+from tillflow.operators.groups import lookup, null_safe_join
 from tillflow.operators.ordered import occurrence_number
 from tillflow.options import GroupLimits, Options
 from tillflow.schemas import STAFF_INVOICE
-from tillflow.session import settled
 
 
 def join_lines(invoices: DataFrame, lines: DataFrame, on: Sequence[str], limits: GroupLimits | None = None) -> DataFrame:
     """Every invoice with its lines; one row of nulls for an invoice without any.
 
-    An invoice may have very many lines. Then the lines lead the join, as only the
-    leading side can be spread, and the invoices without lines are added.
+    An invoice may have very many lines. So the lines lead the join, as only the leading
+    side can be spread, and the invoices without lines are added.
     """
-    limits = limits or GroupLimits()
-    hot = hot_keys(lines, on, limits)
-    if not hot:
-        return null_safe_join(invoices, lines, on, "left")
     out = [*invoices.columns, *[c for c in lines.columns if c not in on]]
-    matched = lookup(lines, invoices, on, "inner", limits, hot=hot)
+    matched = lookup(lines, invoices, on, "inner", limits)
     without = null_safe_join(invoices, lines.select(*on).distinct(), on, "left_anti")
     return matched.select(*out).unionByName(without, allowMissingColumns=True)
 
@@ -77,7 +72,7 @@ def invoice_lines(
     df = df.where(~s.has_no_topping_mark(F.col("item")))
     df = df.withColumn("customer_class", s.customer_class(F.col("phone"), F.col("tier")))
     return occurrence_number(
-        settled(df, options.limits),
+        df,
         ["number", "item", "qty"],
         ["created_at", "invoice_seq", "line_seq"],
         limits=options.limits,

@@ -41,7 +41,8 @@ def page_schema(dataset: str) -> T.StructType:
 
 def _numbered(pages: DataFrame) -> DataFrame:
     number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json", 1)
-    return pages.withColumn("_page", F.coalesce(number.try_cast("bigint"), F.lit(0)))
+    unnumbered = F.raise_error(F.concat(F.lit("page file without a number: "), F.col("_metadata.file_name"))).cast("bigint")
+    return pages.withColumn("_page", F.when(number == "", unnumbered).otherwise(number.try_cast("bigint")))
 
 
 def read_pages(spark: SparkSession, root: str, dataset: str) -> DataFrame:
