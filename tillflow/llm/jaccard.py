@@ -207,7 +207,7 @@ def _connected(buckets: DataFrame, members: DataFrame, join: Join) -> tuple[Data
     ``(b(x) + b(y)) / 2`` elements in common. If that is nothing, both link to p. Else they share an element of the
     first ``a - o + 1`` in a fixed order, if they must share o; what p lacks comes first, as it is rare. The one with
     the smaller b shares b(y) at least, which leaves a short prefix; the other one cannot be further from it than what
-    the smaller can have in common with it. So near copies meet again only if they differ from the pivot in the same
+    the smaller can have in common with it; and where they first meet, enough must be left of both. So near copies meet again only if they differ from the pivot in the same
     way, and a large group costs about as many candidates as it has members. The pivot is the member whose shingles
     most candidates have, as far as a sixteenth of the shingles tells; any other would give the same links.
     """
@@ -223,11 +223,13 @@ def _connected(buckets: DataFrame, members: DataFrame, join: Join) -> tuple[Data
 
     placed = tried.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # A bucket for each pivot and element; that two of them may share a hash does no harm.
+    # ``room``: elements from the shared one on, which are all that two sets that first meet there have in common.
     role = lambda prefix: placed.select(
-        F.explode(F.transform(prefix, lambda shingle: F.xxhash64("pivot", shingle))).alias("bucket"), "node", "b", "component"
-    )
-    y, x = role("as_smaller"), role("as_larger").toDF("bucket", "other", "other_b", "other_component")
+        F.posexplode(F.transform(prefix, lambda shingle: F.xxhash64("pivot", shingle))).alias("place", "bucket"), "node", "b", "a", "component"
+    ).select("bucket", "node", "b", (F.col("a") - F.col("place")).alias("room"), "component")
+    y, x = role("as_smaller"), role("as_larger").toDF("bucket", "other", "other_b", "other_room", "other_component")
     meeting = y.join(x, "bucket").where("component <> other_component AND (b < other_b OR b = other_b AND node < other)")
+    meeting = meeting.where(2 * (100 + join.percent) * F.least("room", "other_room") >= F.col("b") + F.col("other_b"))
     candidates = written(meeting.select(F.least("node", "other").alias("pivot"), F.greatest("node", "other").alias("node")).distinct())
     found = _tried(candidates, members, join).where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     links = written(links.unionByName(found))
@@ -260,7 +262,7 @@ def _tried(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
 
     largest_partner = F.floor(100 * n / F.lit(join.percent))
     return both.select(
-        "pivot", "node", linked_now.alias("linked"), "b",
+        "pivot", "node", linked_now.alias("linked"), "b", a.alias("a"),
         prefix(F.col("b")).alias("as_smaller"), prefix(F.col("b") - part * largest_partner).alias("as_larger"),
     )
 
