@@ -205,17 +205,16 @@ def _connected(buckets: DataFrame, members: DataFrame, join: Join) -> tuple[Data
     others, x and y. With ``a(x)`` the shingles in which x differs from p and ``b(x) = a(x) - k |x|``, where
     ``k = (100 - percent) / (100 + percent)``, they link exactly if their differences from p have
     ``(b(x) + b(y)) / 2`` elements in common. If that is nothing, both link to p. Else they share an element of the
-    first ``a - o + 1`` in a fixed order, if they must share o; what p lacks comes first, as it is rare. The one with
+    first ``a - o + 1`` in a fixed order, if they must share o; what p lacks comes first, and the rare before the
+    common, so that what all but p have in common stays behind. The one with
     the smaller b shares b(y) at least, which leaves a short prefix; the other one cannot be further from it than what
-    the smaller can have in common with it; and where they first meet, enough must be left of both. So near copies meet again only if they differ from the pivot in the same
-    way, and a large group costs about as many candidates as it has members. The pivot is the member whose shingles
-    most candidates have, as far as a sixteenth of the shingles tells; any other would give the same links.
+    the smaller can have in common with it; and where they first meet, enough must be left of both. So near copies
+    meet again only if they differ from the pivot in the same way, and a large group costs about as many candidates
+    as it has members. The pivot is the member whose shingles most candidates have; any other would give the same
+    links.
     """
-    sampled = members.select("node", F.explode(F.filter("elements", lambda e: e.bitwiseAND(15) == 0)).alias("shingle"))
-    common = sampled.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    central = written(sampled.join(common, "shingle").groupBy("node").agg(F.avg("n").alias("weight")))
-    ranked = buckets.join(central, "node", "left")
-    pivot = F.first("node").over(Window.partitionBy("bucket").orderBy(F.desc_nulls_last("weight"), "node"))
+    ranked = buckets.join(members.select("node", "weight"), "node")
+    pivot = F.first("node").over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "node"))
     pairs = ranked.select("node", pivot.alias("pivot")).where("node <> pivot").distinct()
     tried = written(_tried(pairs, members, join))
     links = written(tried.where("linked").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")))
@@ -237,10 +236,17 @@ def _connected(buckets: DataFrame, members: DataFrame, join: Join) -> tuple[Data
 
 
 def _texts(docs: DataFrame, join: Join, nodes: DataFrame) -> DataFrame:
-    """``(node, elements)`` of the candidates, from their texts."""
+    """``(node, elements, weight)`` of the candidates, from their texts: their shingles, those that the fewest
+    candidates have first, and in how many candidates a shingle of theirs is on average."""
     row = lambda doc_id, elements: (doc_id, elements)
     wanted = docs.select("doc_id", "text").join(written(nodes).withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    return _map(wanted, join, row, "node elements*").dropDuplicates(["node"])
+    texts = written(_map(wanted, join, row, "node elements*").dropDuplicates(["node"]))
+    each = texts.select("node", F.explode("elements").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    ordered = each.join(common, "shingle").groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ranked"), F.avg("n").alias("weight")
+    )
+    return ordered.select("node", F.col("ranked.shingle").alias("elements"), "weight")
 
 
 def _tried(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
