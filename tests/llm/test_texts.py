@@ -241,6 +241,16 @@ def test_personal_data(documents, edge_rows):
     assert sorted((r.doc_id, [tuple(s) for s in r.spans]) for r in got) == want
 
 
+def test_addresses_with_parts_of_zero(documents):
+    parts = ["0", "00", "000", "1", "010", "0255", "255", "256", "0256", "100"]
+    rng = random.Random(7)
+    rows = list(enumerate(["10.0.0.1", "0.0.0.0", "000.1.2.3", "192.168.0.1", "255.255.255.0", "0" * 4000 + ".0.0.0", "0" * 4000 + "256.0.0.0"]))
+    rows += [(100 + i, f"at {'.'.join(rng.choice(parts) for _ in range(4))}, then") for i in range(200)]
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_personal_data(documents(rows)).collect()}
+    base = {i: [s for s in spans if s[1] != pii.KINDS.index("term")] for i, spans in got.items()}
+    assert base == {i: base_of(t) for i, t in rows} and len(base[0]) == len(base[1]) == len(base[2]) == 1
+
+
 def test_personal_data_of_nothing(documents):
     assert pii.find_personal_data(documents([])).collect() == []
 
