@@ -332,6 +332,21 @@ def test_best_path_is_viterbi():
         assert tuple(got[a:b]) == max(best, key=best.get)
 
 
+@pytest.mark.parametrize("languages", [127, 128, 200, 300])
+def test_best_path_among_many_languages(languages):
+    want = np.arange(2 * languages) % languages
+    got = language._best_path(10 * np.eye(languages, dtype=np.float32)[want], np.array([0, languages, 2 * languages]), 1.0)
+    assert got.tolist() == want.tolist()
+
+
+def test_two_hundred_languages(spark, documents):
+    rng = random.Random(8)
+    texts = {f"l{k:03}": " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)) for k in range(200)}
+    model = language.train(spark.createDataFrame([(t, lang) for lang, t in texts.items()], "text string, lang string"), penalty=8.0)
+    rows = language.identify(documents(list(enumerate(texts.values()))), model).collect()
+    assert {r.doc_id: r.lang_pred for r in rows} == dict(enumerate(texts))
+
+
 def test_texts_without_letters(spark, documents, edge_rows, three_languages):
     _, model = three_languages
     rows = language.identify(documents(edge_rows + [(20, "— … ·")]), model).collect()

@@ -130,8 +130,9 @@ def _best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndar
     starts, lengths = first[:-1][order], lengths[order]
     steps = int(lengths[0]) if len(lengths) else 0
     live = np.searchsorted(-lengths, -np.arange(1, steps + 1), "right")  # texts with a word at each step
-    before = np.empty(scores.shape, np.int8)  # the language of the word before, if this one has the language
-    names = np.arange(scores.shape[1], dtype=np.int8)
+    kind = np.min_scalar_type(scores.shape[1])  # the smallest numbers that tell all languages apart
+    before = np.empty(scores.shape, kind)  # the language of the word before, if this one has the language
+    names = np.arange(scores.shape[1], dtype=kind)
     value = np.zeros((len(starts), scores.shape[1]), np.float32)
     last = np.zeros(len(starts), np.int64)
     for step in range(steps):
@@ -141,11 +142,11 @@ def _best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndar
         best = value.argmax(axis=1)
         value = value - value[np.arange(n), best][:, None]
         changes = value < -penalty
-        before[at] = np.where(changes, best[:, None].astype(np.int8), names)
+        before[at] = np.where(changes, best[:, None].astype(kind), names)
         value = np.maximum(value, -penalty) + scores[at]
         ongoing = live[step + 1] if step + 1 < steps else 0
         last[ongoing:n] = value[ongoing:].argmax(axis=1)  # where the paths of texts that end here end
-    path = np.empty(len(scores), np.int8)
+    path = np.empty(len(scores), kind)
     for step in range(steps - 1, -1, -1):
         n = live[step]
         at = starts[:n] + step
