@@ -251,6 +251,33 @@ def test_addresses_with_parts_of_zero(documents):
     assert base == {i: base_of(t) for i, t in rows} and len(base[0]) == len(base[1]) == len(base[2]) == 1
 
 
+def test_disclosing_words_in_whole_texts(documents):
+    far = " and so on" * 30
+    rows = [(i, f"Ludwig wrote on day{i} from anna@example.org") for i in range(4)]
+    rows += [(10 + i, f"mail bob{i}@example.net about something else {i}") for i in range(30)]
+    texts = [
+        "anna@example.org" + far + ": ludwig said LUDWIG, Ludwigs éLudwig Ludwig",  # far from the address
+        "anna@example.org, bob1@example.net, 10.0.0.1, Ludwig",  # behind other addresses
+        "ludwig@example.com" + far + " Ludwig, see anna@example.org",  # inside of another span
+        "Ludwig" + far + " wrote to bob2@example.net",  # without the entity
+    ]
+    texts.append("anna@example.org " + "word " * 60_000 + "𝄞 Ludwig")
+    rows += [(100 + i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (100, texts[0])]
+    rule = pii.Disclosure(threshold=0.4)
+    got = [(r.doc_id, [tuple(s) for s in r.spans if s.kind == pii.KINDS.index("term")]) for r in pii.find_personal_data(documents(rows), rule).collect()]
+    by_id = defaultdict(set)
+    for i, spans in got:
+        by_id[i].add(tuple((a, b) for a, _, b, w in spans if w == "ludwig"))
+
+    def want(text):
+        bases = [(a, b) for a, _, b, _ in base_of(text)]
+        spots = [m.span() for m in re.finditer(r"[^\W_]+", text) if m[0].lower() == "ludwig"]
+        return tuple(s for s in spots if not any(a <= s[0] and s[1] <= b for a, b in bases))
+
+    assert [by_id[100 + i] for i in range(5)] == [{want(t)} if "anna" in t else {()} for t in texts]
+    assert by_id[None] == by_id[100] and [len(want(t)) for t in texts] == [3, 1, 1, 1, 1]
+
+
 def test_personal_data_of_nothing(documents):
     assert pii.find_personal_data(documents([])).collect() == []
 
