@@ -22,7 +22,7 @@ CONSTANT = 0.9
 
 # Elements by name.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math canvas object".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml canvas object".split())
 NOT_CONTENT = frozenset(
     "head nav footer aside form button select option input label fieldset datalist menu dialog audio video map".split()
 ) | RAW
@@ -42,6 +42,10 @@ NOT_ARTICLE = frozenset(
     " recommendations trending widget widgets comment comments reply replies respond disqus discussion pagination pager toolbar search form"
     " paywall tagcloud".split()
 )
+#: Words that say nothing about what an element is for.
+STRUCTURE = frozenset("area bar block box buttons container icons inner links list outer posts section slot unit wrap wrapper".split())
+#: Elements of running text, whose ids are anchors made from headings.
+OF_TEXT = HEADINGS | {"p", "section"}
 OF_READERS = frozenset("comment comments reply replies".split())
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
@@ -107,11 +111,16 @@ def parse(source: str) -> Node:
             stack.append(node)
 
 
-def _words(node: Node) -> tuple[frozenset[str], bool]:
-    """The words of class, id, role and itemprop, and whether the element is hidden."""
+def _words(node: Node) -> tuple[frozenset[str], frozenset[str], bool]:
+    """The words of class, id, role and itemprop; those that say by themselves what the element is; whether it is hidden.
+
+    A whole name says so, or one whose other words are of ``STRUCTURE``: ``related`` and ``related-posts``, but not
+    ``related-work``. The id of an element of running text says nothing.
+    """
     if not node.attributes:
-        return frozenset(), False
+        return frozenset(), frozenset(), False
     words: set[str] = set()
+    plain: set[str] = set()
     hidden = False
     for name, value in _ATTRIBUTE.findall(node.attributes):
         name, value = name.lower(), value.strip("\"'").lower()
@@ -123,7 +132,13 @@ def _words(node: Node) -> tuple[frozenset[str], bool]:
             hidden = True
         else:
             words.update(_NOT_WORD.split(value))
-    return frozenset(words), hidden
+            if name == "id" and node.tag in OF_TEXT:
+                continue
+            for whole in value.split():
+                parts = set(_NOT_WORD.split(whole)) - {""}
+                if parts <= NOT_ARTICLE | STRUCTURE:
+                    plain |= parts & NOT_ARTICLE
+    return frozenset(words), frozenset(plain), hidden
 
 
 class Shapes:
@@ -233,8 +248,8 @@ def _articles(page: Node) -> list[Node]:
         node, within = stack.pop()
         kind = None
         if node.tag not in ("#text", "#blank"):
-            words, hidden = _words(node)
-            if hidden or node.tag in NOT_CONTENT or words & OF_READERS:
+            words, plain, hidden = _words(node)
+            if hidden or node.tag in NOT_CONTENT or plain & OF_READERS:
                 continue
             if node.tag == "article" or "articlebody" in words:
                 kind = "article"
@@ -305,8 +320,9 @@ def main_text(page: Node) -> str:
         if id(node) in inside:
             taken = True
         elif id(node) not in holders and tag not in ("html", "body", "#page"):
-            words, hidden = _words(node)
-            out = words & NOT_ARTICLE
+            words, plain, hidden = _words(node)
+            # In the article a word within a name is no reason: only its text can show that it is template.
+            out = plain if taken and articles or tag in OF_TEXT else words & NOT_ARTICLE
             if hidden or out - {"header"}:
                 end_block()
                 continue
@@ -378,7 +394,8 @@ def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     Pages of one host are aligned by simple tree matching. Texts that stay the same in one place are template, what
     varies is content. Menus, headers, footers, sidebars, notices, adverts, forms and comments vary too, so elements
     whose name, class, id or role says that they are such are left out as well; if a page has an ``article`` (or else
-    a ``main``), only its contents count. Character references are decoded, white space within a block is one space,
+    a ``main``), only its contents count, and within it only a whole name says so, as ids and compound names often
+    stand for what the text is about. Character references are decoded, white space within a block is one space,
     and blocks are joined by line ends.
 
     A null page is empty; a page without text gives an empty one; pages without a URL or host form a host of their
