@@ -37,3 +37,44 @@ def test_names_in_the_article(n_pages):
 def test_formulas_are_kept():
     formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>a=2</annotation></semantics></math>"
     assert texts_of([f"<article><p>Let {formula} hold.</p></article>"]) == ["Let a=2 hold."]
+
+
+def page(blocks, top="Our unnamed banner here", end="Made with care by us"):
+    return f"<body><div>{top}</div><article>{''.join(f'<p>{b}</p>' for b in blocks)}</article><div>{end}</div></body>"
+
+
+def test_near_copies_of_an_article_are_no_template():
+    article = [words(20) for _ in range(6)]
+    sources, want = [], []
+    for i in range(30):
+        blocks = [words(20) for _ in range(6)] if i % 15 == 14 else [*article[:5], words(5)]
+        sources.append(page([*blocks, "Share this story"]))
+        want.append("\n".join([*blocks, "Share this story"]))
+    assert texts_of(sources) == want
+
+
+def test_what_different_articles_share_is_template():
+    blocks = [[words(20) for _ in range(4)] for _ in range(12)]
+    copies = [[*b[:3], words(4)] for b in blocks for _ in range(3)]
+    assert texts_of([page([*b, "Share this story"]) for b in blocks + copies]) == ["\n".join(b) for b in blocks + copies]
+
+
+def test_layouts_do_not_disturb_each_other():
+    usual = [f"<body><div>Unnamed banner</div><div><p>{words(9)}</p><p>{words(9)}</p></div><div>Made by us</div></body>" for _ in range(20)]
+    rare = [f"<body><table><tr><td>Old banner<td>{words(9)}<tr><td>Old end</table></body>" for _ in range(5)]
+    lone = ["<body><center><h1>One of a kind</h1></center></body>"]
+    for sources in (rare + usual + lone, usual + lone + rare, lone + rare + usual):
+        for source, text in zip(sources, texts_of(sources), strict=True):
+            assert "anner" not in text and "Made by" not in text and "Old end" not in text
+            assert all(len(w) == 6 for w in text.split()) and text if source not in lone else text == "One of a kind"
+
+
+def test_the_order_of_rows_does_not_matter(spark):
+    RNG.seed(10)
+    sources = [page([words(9)] * RNG.randint(1, 3)) if i % 3 else f"<body><table><tr><td>Old banner<td>{words(9)}</table></body>" for i in range(40)]
+    rows = [(i, "http://a.example/x", s) for i, s in enumerate(sources)]
+    found = []
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[0] * 7 % 40)):
+        df = spark.createDataFrame(order, "page_id long, url string, html string").coalesce(1)
+        found.append({r.page_id: r.text for r in wrappers.extract(df).collect()})
+    assert found[0] == found[1] == found[2] and not any("banner" in t for t in found[0].values())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,6 +21,10 @@ GROUP_PAGES = 128
 LEAST_PAGES, LEAST_PAGES_INSIDE = 3, 8
 #: Share of a group's different pages that must have the same text in a node of the template.
 CONSTANT = 0.9
+#: Share of their pairs of neighbouring words in which near copies agree, by their articles or as pages without one.
+NEAR_ARTICLE, NEAR_PAGE = 0.5, 0.8
+#: Share of the paths of elements outside of the article in which pages of one layout agree.
+LAYOUT = 0.6
 
 # Elements by name.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -342,31 +348,109 @@ def main_text(page: Node) -> str:
     return "\n".join(lines)
 
 
+def _alike(one: frozenset, two: frozenset, share: float) -> bool:
+    return len(one & two) >= share * len(one | two)
+
+
+def _layout(page: Node) -> frozenset[int]:
+    """The paths of the elements of a page, down to its articles."""
+    inside = {id(a) for a in _articles(page)}
+    paths, stack = set(), [(page, 0)]
+    while stack:
+        node, above = stack.pop()
+        if node.tag not in ("#text", "#blank"):
+            # A hash of tuples of numbers, so that it is the same in every process.
+            path = hash((above, zlib.crc32(node.tag.encode())))
+            paths.add(path)
+            if id(node) not in inside:
+                stack.extend((c, path) for c in node.children)
+    return frozenset(paths)
+
+
+def _by_layout(pages: list[Node]) -> list[list[Node]]:
+    """Pages of one layout, the commonest layout first; the first page of each has its commonest tree."""
+    layouts = [_layout(page) for page in pages]
+    count = Counter(layouts)
+    known: dict[frozenset, int] = {}
+    chosen: list[frozenset] = []
+    for layout, _ in count.most_common():  # equal counts in the order of the pages
+        at = next((i for i, x in enumerate(chosen) if _alike(layout, x, LAYOUT)), len(chosen))
+        if at == len(chosen):
+            chosen.append(layout)
+        known[layout] = at
+    out: list[list[int]] = [[] for _ in chosen]
+    for i, layout in enumerate(layouts):
+        out[known[layout]].append(i)
+    for group in out:
+        trees = Counter((layouts[i], pages[i].shape) for i in group)
+        group.sort(key=lambda i: (-count[layouts[i]], -trees[layouts[i], pages[i].shape]))
+    return [[pages[i] for i in group] for group in sorted(out, key=len, reverse=True)]
+
+
+def _different(pages: list[Node]) -> list[int]:
+    """The first of each group of near copies, by what they say outside of menus and the like."""
+    chosen: list[tuple[int, frozenset, float]] = []
+    for i, page in enumerate(pages):
+        found = main_text(page).split()
+        said = frozenset(zip(found, found[1:] or found, strict=False))
+        share = NEAR_ARTICLE if _articles(page) else NEAR_PAGE
+        if not any(_alike(said, x, max(share, y)) for _, x, y in chosen):
+            chosen.append((i, said, share))
+    return [i for i, _, _ in chosen]
+
+
 def induce(pages: list[Node]) -> None:
     """Marks as template the texts that different pages have in common in one place of their trees.
 
-    All pages are aligned with the first one. Pages with the same article count once.
+    The pages of each layout are aligned with one that has the commonest tree. Pages with the same article count once.
+    What the articles themselves have in common must also be shared by pages that are no near copies: what takes up
+    most of an article is a copied article, not template. Pages of a layout with few pages lose only what is template
+    of the commonest layout, word by word.
     """
     shapes = Shapes()
     for page in pages:
         shapes.number(page)
+    layouts = _by_layout(pages)
+    if not _induce(shapes, layouts[0], []):
+        _induce(shapes, [page for group in layouts for page in group], [])
+        return
+    for group in layouts[1:]:
+        if not _induce(shapes, group, []):
+            _induce(shapes, layouts[0], group)
+
+
+def _induce(shapes: Shapes, pages: list[Node], others: list[Node]) -> bool:
+    """Marks the template of ``pages``, or of ``others`` by it; whether there are enough different pages."""
     first, seen = pages[0], set()
-    same: dict[int, int] = {}
+    same: dict[int, set[int]] = {}
     at: list[list[tuple[Node, Node]]] = []
-    for page in pages:
+    for i, page in enumerate(pages):
         pairs = list(aligned(shapes, first, page))
         at.append(pairs)
         content = "".join(map(_all_text, _articles(page) or [page]))
-        if content in seen:
-            continue
+        new = content not in seen
         seen.add(content)
         for ours, theirs in pairs:
             if _plain(ours.text) == _plain(theirs.text):
-                same[id(ours)] = same.get(id(ours), 0) + 1
+                same.setdefault(id(ours), set()).add(i if new else -1)
     if len(seen) < LEAST_PAGES:
-        return
-    constant = {node for node, n in same.items() if n >= CONSTANT * len(seen)}
-    for page, pairs in zip(pages, at, strict=True):
+        return False
+    constant = {node for node, by in same.items() if len(by - {-1}) >= CONSTANT * len(seen)}
+    if not constant:
+        return True
+    # What is constant in content is so among pages that are no near copies of each other, too.
+    articles = _articles(first)
+    content, stack = set(), list(articles) or [first]
+    while stack:
+        node = stack.pop()
+        content.add(id(node))
+        stack.extend(node.children)
+    if constant & content:
+        chosen = set(_different(pages))
+        least = LEAST_PAGES_INSIDE if articles else LEAST_PAGES
+        constant -= {node for node in constant & content if len(chosen) < least or len(same[node] & chosen) < CONSTANT * len(chosen)}
+    targets = zip(pages, at, strict=True) if not others else ((page, list(aligned(shapes, first, page))) for page in others)
+    for page, pairs in targets:
         within: set[int] = set()
         if len(seen) < LEAST_PAGES_INSIDE:
             stack = _articles(page)
@@ -375,11 +459,14 @@ def induce(pages: list[Node]) -> None:
                 within.add(id(node))
                 stack.extend(node.children)
         for ours, theirs in pairs:
-            if id(ours) in constant and id(theirs) not in within:
+            if id(ours) in constant and id(theirs) not in within and (not others or _plain(ours.text) == _plain(theirs.text)):
                 theirs.template = True
+    return True
 
 
 def _extract(table: pa.Table) -> pa.Table:
+    # Rows come in the order of a shuffle; the wrapper must not depend on it.
+    table = table.sort_by([("page_id", "ascending"), ("url", "ascending"), ("html", "ascending")])
     pages = [parse(source) for source in table.column("html").to_pylist()]
     if len(pages) > 1:
         induce(pages)
@@ -391,7 +478,7 @@ def _extract(table: pa.Table) -> pa.Table:
 def extract(pages: DataFrame, group_pages: int = GROUP_PAGES) -> DataFrame:
     """``page_id, url, text`` for every row of ``pages``: the main text of the page.
 
-    Pages of one host are aligned by simple tree matching. Texts that stay the same in one place are template, what
+    Pages of one host and layout are aligned by simple tree matching. Texts that stay the same in one place are template, what
     varies is content. Menus, headers, footers, sidebars, notices, adverts, forms and comments vary too, so elements
     whose name, class, id or role says that they are such are left out as well; if a page has an ``article`` (or else
     a ``main``), only its contents count, and within it only a whole name says so, as ids and compound names often
