@@ -31,9 +31,11 @@ def _without(docs: DataFrame, found: DataFrame, goes: Column) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of no language. Three quarters of the documents, by id, teach the model."""
-    model = language.train(docs.where(language.remainder(F.col("doc_id"), 4) != 2))
-    return _without(docs, language.identify(docs, model), F.col("lang_pred") == "und")
+    """Drops documents without letters, which are of no language. All documents with a language teach the model."""
+    model = language.train(docs)
+    # Without labels there is no language to tell, but there are letters.
+    found = language.identify(docs, model if model.languages else language.any_language())
+    return _without(docs, found, F.col("lang_pred") == "und")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

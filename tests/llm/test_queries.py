@@ -5,11 +5,12 @@ import os
 import duckdb
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from test_counts import alnum, classes_of, hits_of
 from test_texts import bare
 
 import corpus_pipeline
-from tillflow.llm import queries
+from tillflow.llm import language, queries
 
 SF_DIR = os.environ.get("TILLFLOW_SF_DIR", "/root/testdata/sf0.001")
 
@@ -56,6 +57,15 @@ def test_stages_keep_the_columns(spark, documents, edge_rows):
             assert {2, 3, 4, 9}.isdisjoint({r.doc_id for r in kept.collect()})
 
 
+def test_documents_without_labels_stay(spark, documents, edge_rows):
+    docs = documents(edge_rows)
+    held_out = language.remainder(F.col("doc_id"), 4) == 2
+    want = {1, 5, 6, 7, 8, 10, None}
+    for lang in (F.lit(None).cast("string"), F.when(held_out, F.col("lang"))):
+        kept = corpus_pipeline.language_id(spark, docs.withColumn("lang", lang), SF_DIR).collect()
+        assert {r.doc_id for r in kept} == want and len(kept) == 9
+
+
 def test_every_sql_has_a_query():
     assert set(queries.SQL) <= set(queries.QUERIES)
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))

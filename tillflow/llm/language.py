@@ -109,6 +109,11 @@ def train(labelled: DataFrame, penalty: float = 25.0, smoothing: float = 0.5, ra
     return Model(languages, np.ascontiguousarray(scores, np.float32), (share >= rare_script).T, penalty)
 
 
+def any_language() -> Model:
+    """A model of one language without a name, which is that of every text with a letter."""
+    return Model([""], np.zeros((BUCKETS, 1), np.float32), np.ones((len(_SCRIPT_NAMES), 1), bool), 0.0)
+
+
 def _word_scores(model: Model, data: np.ndarray, found: Words) -> np.ndarray:
     """Words by languages: the log probability of the word's trigrams; other scripts' languages are far behind."""
     gram = _grams(data)
