@@ -68,4 +68,4 @@ def test_documents_without_labels_stay(spark, documents, edge_rows):
 
 def test_every_sql_has_a_query():
     assert set(queries.SQL) <= set(queries.QUERIES)
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))

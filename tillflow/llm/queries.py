@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import decontaminate, dedup, language, pii, shards, wrappers
+from tillflow.llm import decontaminate, dedup, infill, language, licenses, pii, resample, shards, wrappers
 from tillflow.llm.jaccard import Join, near_classes
 from tillflow.llm.lm import LanguageModel, score
 from tillflow.llm.pieces import PieceModel, encode
@@ -105,6 +105,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.restore(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+    digest = lambda c: F.sha2(F.encode(c, "UTF-8"), 256).alias(f"{c}_sha256")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -116,10 +130,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "op11_license_scan": op11_license_scan,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_ALL_WORDS = _WORDS.format(_LOWER.format("coalesce(text, '')"))
+
+
+def _list(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _licenses_sql() -> str:
+    """Every block against every template."""
+    step = licenses.stride(licenses.TEMPLATES)
+    values = ", ".join(
+        f"('{t.label}', {t.base}, {t.phrase}, {t.least}, {_list(t.words)}, {_list(sorted(set(t.words)))})" for t in licenses.TEMPLATES
+    )
+    return f"""
+        WITH t(label, base, phrase, least, words, distinct_words) AS (VALUES {values}),
+        d AS (SELECT row_number() OVER () AS r, doc_id, {_ALL_WORDS} AS w FROM documents),
+        blocks AS (
+            SELECT r, b * {step} AS first_word, w[b * {step} + 1 : (b + 2) * {step}] AS w
+            FROM (SELECT r, w, unnest(range(0, (len(w) + {step} - 1) // {step})) AS b FROM d)
+        ), pairs AS (
+            SELECT r, label, base, phrase, len(list_intersect(distinct_words, w)) / len(distinct_words) AS share,
+                   list_transform(list_filter(range(0, least(len(w), {step})), lambda p: w[p + 1 : p + len(words)] = words), lambda p: p + first_word) AS places
+            FROM blocks, t WHERE len(list_intersect(distinct_words, w)) >= least
+        ), found AS (
+            SELECT r, sum(len(places)) FILTER (WHERE base)::BIGINT AS n_base, min(list_min(places)) FILTER (WHERE base) AS first_word,
+                   max(list_max(places)) FILTER (WHERE base) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+            FROM pairs WHERE NOT phrase OR len(places) > 0 GROUP BY r
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+        FROM d LEFT JOIN found USING (r)
+    """
+
+
+# A checksum of each different word, byte by byte, with a table that follows from the polynomial.
+_CRC32 = """
+    crc_table AS (
+        SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+               lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entries
+    ), checksums AS (
+        SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(word))),
+                   lambda i: ('0x' || hex(encode(word))[2 * i + 1 : 2 * i + 2])::BIGINT)),
+               lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+        FROM (SELECT DISTINCT word FROM words), crc_table
+    )
+"""
 
 SQL: dict[str, str] = {
     "op1_lm_scoring": f"""
@@ -183,4 +248,49 @@ SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
     """,
+    "op11_license_scan": _licenses_sql(),
+    "op12_fill_in_middle": r"""
+        WITH h AS (SELECT *, sha256('42:' || doc_id) AS hex FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+        u AS (
+            SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+                   ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR ('0x' || hex[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+                        WHEN ('0x' || hex[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM h
+        ), cut AS (
+            SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM u
+        ), parts AS (
+            SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1 : b], '') AS middle, array_to_string(u[b + 1 :], '') AS suffix FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
+    "op13_importance_resampling": f"""
+        WITH d AS (SELECT doc_id, {_ALL_WORDS} AS w FROM documents),
+        words AS (SELECT unnest(w) AS word, true AS source FROM d UNION ALL SELECT unnest({_ALL_WORDS}), false FROM benchmark),
+        {_CRC32}, counts AS (
+            SELECT bucket, count(*) FILTER (WHERE source) AS s, count(*) FILTER (WHERE NOT source) AS t,
+                   sum(s) OVER () AS sum_s, sum(t) OVER () AS sum_t
+            FROM words JOIN checksums USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * (sum_s + 10000) / ((s + 1.0::DOUBLE) * (sum_t + 10000))))::BIGINT AS gain FROM counts
+        ), of_word AS (SELECT word, gain FROM checksums JOIN gains USING (bucket)),
+        weights AS (
+            SELECT doc_id, count(*) AS n_features, floor(sum(gain)::BIGINT / count(*))::BIGINT AS weight
+            FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN of_word USING (word) GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM d LEFT JOIN weights USING (doc_id)
+        ), placed AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (doc_id)
+    """,
 }
