@@ -20,6 +20,7 @@ from tillflow.operators.ordered import (
     occurrence_number,
 )
 from tillflow.operators.replay import replay_splits
+from tillflow.operators.scan import Count, Fill, scan
 from tillflow.options import CHANGE, LOG_TYPES, MERGE, NO_TOPPING, SPLIT, Options
 from tillflow.plans import daily, invoices, kpi, order_log, reports
 from tillflow.schemas import HEADINGS, columns
@@ -384,10 +385,10 @@ def fill_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("bought"),
         F.when(F.col("value") > 40, F.col("event_type")).alias("large"),
-    ).withColumn("next_bought", F.col("bought"))
-    df = fill(df, ["user_id"], ["ts", "event_id"], ["next_bought"], forward=False)
-    df = fill(df, ["user_id"], ["ts", "event_id"], ["bought", "large"])
-    return df.select("event_id", "bought", "large", "next_bought")
+    )
+    # One pass for fills of different kinds.
+    wanted = [Fill("bought", "next_bought", forward=False), Fill("bought", "bought"), Fill("large", "large")]
+    return scan(df, ["user_id"], ["ts", "event_id"], wanted).select("event_id", "bought", "large", "next_bought")
 
 
 def signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,10 +412,12 @@ def lifo_netting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def occurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines find the same line of the bill by item, quantity and occurrence; else facts of the bill."""
     df = signed_lines(spark, sf_dir).withColumn("qty", F.abs("qty"))
-    log = occurrence_number(df.where(F.col("l_linestatus") == "O"), ["id", "item", "qty"], NET_ORDER)
-    billed = df.where(F.col("l_returnflag") != "R")
-    billed = occurrence_number(billed, ["id", "item", "qty"], NET_ORDER).select(
-        "id", "item", "qty", "mark",
+    df = df.withColumns({"logged": F.col("l_linestatus") == "O", "billed": F.col("l_returnflag") != "R"})
+    # Both sides are numbered in one pass.
+    df = scan(df, ["id", "item", "qty"], NET_ORDER, [Count("log_mark", "logged"), Count("bill_mark", "billed")])
+    log = df.where("logged").withColumnRenamed("log_mark", "mark").drop("bill_mark")
+    billed = df.where("billed").select(
+        "id", "item", "qty", F.col("bill_mark").alias("mark"),
         F.concat(F.lit("N"), "l_orderkey").alias("number"),
         F.col("l_extendedprice").alias("total"),
         *[F.col(c).alias(f"b_{c}") for c in ("l_shipdate", "l_partkey", "l_suppkey")],
@@ -442,7 +445,8 @@ def first_per_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer one family of bills: orders, voids, splits and lines on the child bills."""
-    df = v.lines(spark, sf_dir)
+    # Only what is needed, as all columns go through the numbering.
+    df = v.lines(spark, sf_dir).select("o_custkey", "o_orderkey", "p_type", *v.LINE)
     df = occurrence_number(df, ["o_custkey"], v.LINE, "n")
     flag, open_ = F.col("l_returnflag"), F.col("l_linestatus") == "O"
     root = F.concat(F.lit("F"), "o_custkey")
@@ -474,7 +478,8 @@ def split_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def order_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from log payloads to final lines, over lines that act as log rows."""
-    df = occurrence_number(log_with_payload(spark, sf_dir), ["o_custkey"], v.LINE, "n")
+    df = v.lines(spark, sf_dir).select("o_custkey", "p_type", "p_retailprice", *v.LINE)
+    df = occurrence_number(df, ["o_custkey"], v.LINE, "n")
     flag, open_ = F.col("l_returnflag"), F.col("l_linestatus") == "O"
     root = F.concat(F.lit("B"), "o_custkey")
     child = F.concat(F.lit("C"), "o_custkey")

@@ -1,12 +1,15 @@
 """Ordered operators against plain loops, with and without cutting of hot groups."""
 
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tillflow.operators import chains, groups, ordered
+from tillflow.operators import chains, groups, ordered, scan
 from tillflow.options import GroupLimits
+from tillflow.session import written
 
 WHOLE = GroupLimits()
 
@@ -32,11 +35,81 @@ def by_key(rows):
     return out
 
 
-def test_hot_group_is_really_cut(spark, small_limits):
-    _, df = table(spark)
-    g = ordered.OrderedGroups(df, ["k"], ["t", "seq"], small_limits)
-    sizes = g.df.groupBy("k", groups.BLOCK).count().where("k = 'hot'").collect()
-    assert g.split and len(sizes) > 5 and max(r["count"] for r in sizes) < 40
+def test_hot_group_lies_in_several_partitions(spark):
+    df = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is far too small for a task each
+    try:
+        parts = scan.in_order(df, ["k"], ["id"]).select("k", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["p"] for r in parts if r["k"] == "hot"}) >= 2 and max(Counter(r["p"] for r in parts).values()) < 15_000
+    marks = scan.scan(df, ["k"], ["id"], [scan.Count("mark")])
+    assert marks.where("k = 'hot' and mark <> id / 3 + 1").count() == 0 and marks.where("k <> 'hot' and mark <> 1").count() == 0
+
+
+def test_blocks_keep_all_rows_in_order(spark):
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(a, b))}) for a, b in [(0, 3), (3, 3), (3, 4), (4, 25), (25, 26)]]
+
+    class Context:
+        def get(self):
+            return self
+
+        def partitionId(self):
+            return 2
+
+    for most in (1, 4, 7, 26, 100):
+        found = list(scan.blocks(iter(batches), most, Context()))
+        assert [x for _, t in found for x in t.column("x").to_pylist()] == list(range(26))
+        assert [n for n, _ in found] == [(2 << 32) + i for i in range(len(found))]
+        assert all(len(t) == most for _, t in found[:-1]) and 0 < len(found[-1][1]) <= most
+
+
+def test_scans_of_one_call_share_one_write(spark, limits, monkeypatch):
+    rows, df = table(spark, 3)
+    writes = []
+    monkeypatch.setattr(scan, "written", lambda d: writes.append(1) or written(d))
+    df = df.withColumns({"even": F.col("seq") % 2 == 0, "pair": F.when(F.col("v").isNotNull(), F.struct("v", "seq"))})
+    wanted = [
+        scan.Count("n"), scan.Count("evens", "even"), scan.Sum("q", "after", later=True), scan.Sum("q", "total"),
+        scan.Fill("pair", "pair"), scan.Fill("v", "next", forward=False), scan.Fill("v", "last", backward=False),
+        scan.Fill("v", "other_next", forward=False, own=False), scan.Fill("v", "other_last", backward=False, own=False), scan.First("pair", "first"),
+    ]
+    got = {r["seq"]: r for r in scan.scan(df, ["k"], ["t", "seq"], wanted, limits).collect()}
+    assert len(writes) == 1 and len(got) == len(rows)
+    for group in by_key(rows).values():
+        for i, r in enumerate(group):
+            x, known = got[r[2]], [g for g in group if g[4]]
+            before, after = [g for g in group[: i + 1] if g[4]], [g for g in group[i:] if g[4]]
+            assert (x["n"], x["evens"]) == (i + 1, sum(g[2] % 2 == 0 for g in group[: i + 1]))
+            assert (x["after"], x["total"]) == (sum(g[3] for g in group[i + 1 :]), sum(g[3] for g in group))
+            assert (x["next"], x["last"]) == (after[0][4] if after else None, before[-1][4] if before else None)
+            others = [g for g in group[i + 1 :] if g[4]], [g for g in group[:i] if g[4]]
+            assert (x["other_next"], x["other_last"]) == (others[0][0][4] if others[0] else None, others[1][-1][4] if others[1] else None)
+            assert (tuple(x["first"]) if x["first"] else None) == (known[0][4], known[0][2]) if known else x["first"] is None
+            near = before[-1] if before else after[0] if after else None
+            assert (tuple(x["pair"]) if x["pair"] else None) == (near and (near[4], near[2]))
+
+
+def test_keys_of_any_type(spark, limits):
+    nan, zero = float("nan"), -0.0
+    rows = [(k, d, i) for i, (k, d) in enumerate([(nan, b"a"), (nan, b"a"), (0.0, None), (zero, None), (None, b"a"), (None, b"a"), (1.5, b"b")] * 3)]
+    df = spark.createDataFrame(rows, "k double, d binary, i int")
+    got = scan.scan(df, ["k", "d"], ["i"], [scan.Count("n")], limits).groupBy("k", "d").agg(F.max("n").alias("n"), F.count("*").alias("c"))
+    assert sorted((str(r["k"]), r["n"], r["c"]) for r in got.collect()) == [("0.0", 6, 6), ("1.5", 3, 3), ("None", 6, 6), ("nan", 6, 6)]
+
+
+def test_scan_of_nothing(spark, limits):
+    df = spark.createDataFrame([], "k string, i int")
+    assert scan.scan(df, ["k"], ["i"], [scan.Count("n"), scan.Fill("i", "i")], limits).collect() == []
+
+
+def test_many_edges_are_joined_without_broadcast(spark, monkeypatch):
+    rows, df = table(spark, 4)
+    want = sorted(map(str, scan.scan(df, ["k"], ["t", "seq"], [scan.Fill("v", "v")], GroupLimits(4)).collect()))
+    monkeypatch.setattr(scan, "BROADCAST_EDGES", 1)
+    got = scan.scan(df, ["k"], ["t", "seq"], [scan.Fill("v", "v")], GroupLimits(4))
+    assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, got.collect())) == want
 
 
 def test_occurrence_number(spark, limits):

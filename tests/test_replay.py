@@ -135,3 +135,10 @@ def test_units_are_conserved(spark):
     ordered = sum(r["qty"] for r in rows if r["log_type"] == "SALE_CHANGE" and r["qty"] > 0 and r["id"] == r["root"])
     assert 0 < sum(q for i, _, s, q in got if rows[s]["id"] == rows[s]["root"]) <= ordered
 
+
+
+def test_no_row_is_walked_in_python(spark):
+    rows = random_log(3, 4, 60, 2)
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], SCHEMA)
+    plan = replay_splits(df, ["time"])._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "FlatMapGroups" not in plan

@@ -1,36 +1,17 @@
-"""Groups of any size: finding the hot ones, cutting them, joining on them.
+"""Joins on keys of any frequency, and values that compare like an order of rows.
 
-A window or a join keyed by bill sends all rows of a bill to one task. That is what
-we want for nearly all bills, and fails for one that holds a large part of the data.
-Joins (``lookup``) leave hot keys to adaptive execution. Ordered work (``OrderedGroups``)
-counts the rows of every key of its written input, range-partitions the keys with many rows
-into blocks of consecutive rows, works inside the blocks and carries a few values per block
-across.
+Joins leave hot keys to adaptive execution; ordered work over groups of any size is in ``scan``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.options import GroupLimits
-from tillflow.session import written
-
-BLOCK, HOT, KEY_HASH = "_block", "_hot", "_key_hash"
-
-
-def key_hash(keys: Sequence[str | Column]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], limits: GroupLimits) -> DataFrame:
-    """Hashes of the keys with more than ``limits.max_rows`` rows, and their row counts."""
-    counts = df.groupBy(key_hash(keys).alias(KEY_HASH)).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > limits.max_rows)
 
 
 def null_safe_join(
@@ -67,67 +48,3 @@ def order_key(order: Sequence[str]) -> Column:
     for i, c in enumerate(order):
         fields += [F.isnull(c).alias(f"n{i}"), F.col(c).alias(f"v{i}")]
     return F.struct(*fields)
-
-
-class OrderedGroups:
-    """Rows grouped by ``keys`` and ordered by ``order``, hot groups cut into blocks.
-
-    ``order`` must be a total order within a group, or equal rows must be interchangeable.
-    Use ``window()`` for work inside a block and ``carry()`` to get values of the other
-    blocks of the same group. Without hot groups it is a plain window.
-
-    The blocks of hot groups are range partitions. They are written once: every reader, and
-    every task that is run again, must see the same blocks.
-    """
-
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], limits: GroupLimits | None = None):
-        self.keys, self.order, self.limits = list(keys), list(order), limits or GroupLimits()
-        # Written, so that counting the keys does not compute the input a second time.
-        self.df = df = written(df)
-        hot = written(hot_keys(df, self.keys, self.limits))
-        rows = hot.agg(F.sum("_rows")).first()[0]
-        self.split = rows is not None
-        if self.split:
-            df = df.withColumn(KEY_HASH, key_hash(self.keys))
-            in_order = [F.asc_nulls_last(c) for c in self.order]
-            cut = (
-                df.join(hot, KEY_HASH, "left_semi")
-                .repartitionByRange(max(2, math.ceil(rows / self.limits.max_rows)), KEY_HASH, *in_order)
-                .withColumn(BLOCK, F.spark_partition_id())
-            )
-            cut = written(cut).withColumn(HOT, F.lit(True))
-            rest = df.join(hot, KEY_HASH, "left_anti").withColumns({BLOCK: F.lit(0), HOT: F.lit(False)})
-            self.df = cut.unionByName(rest).drop(KEY_HASH)
-
-    @property
-    def block_keys(self) -> list[str]:
-        return [*self.keys, BLOCK] if self.split else self.keys
-
-    def window(self, descending: bool = False) -> WindowSpec:
-        way = F.desc_nulls_first if descending else F.asc_nulls_last
-        return Window.partitionBy(*self.block_keys).orderBy(*[way(c) for c in self.order])
-
-    def carry(self, df: DataFrame, per_block: dict[str, Column], across: dict[str, Column]) -> DataFrame:
-        """Add to each row values computed over the blocks of its group.
-
-        ``per_block`` aggregates one row per block of the hot groups; ``across`` are window
-        expressions over those rows (see ``blocks``). The rows joined back are one for each
-        block, and a block is of a size that one task can take.
-        """
-        blocks = df.where(HOT).groupBy(*self.block_keys).agg(*[c.alias(n) for n, c in per_block.items()])
-        carried = blocks.select(*self.block_keys, *[c.alias(n) for n, c in across.items()])
-        return null_safe_join(df, carried, self.block_keys, "left")
-
-    def blocks(self, descending: bool = False) -> WindowSpec:
-        way = F.desc if descending else F.asc
-        return Window.partitionBy(*self.keys).orderBy(way(BLOCK))
-
-    def earlier(self) -> WindowSpec:
-        return self.blocks().rowsBetween(Window.unboundedPreceding, -1)
-
-    def later(self) -> WindowSpec:
-        return self.blocks(descending=True).rowsBetween(Window.unboundedPreceding, -1)
-
-    def plain(self, df: DataFrame) -> DataFrame:
-        """Drop the columns this class added."""
-        return df.drop(BLOCK, HOT)

@@ -8,203 +8,171 @@ log rows take from it, always the units ordered last:
   ``min(stock, s)`` and what leaves goes to the child bill. Items not named stay with 0.
 
 So items do not affect each other, and a unit's fate depends only on its height in the
-stock of its (root, item) and on the stock levels after it. That lets us replay per
-(root, item) instead of per family, and lets even one hot (root, item) be cut:
-
-1. each block of consecutive rows is a function ``level -> clamp(level + a, lo, hi)``;
-   those functions compose, which gives the level at the start of every block;
-2. each block is replayed from that level. Units that leave a block unmatched, and
-   takings that reach below what the block itself ordered, remain as height ranges;
-3. within a block those ranges do not overlap, so ranges of height are handed out to
-   tasks and replayed there.
-
-Python does only the walk over one sorted group; Spark does the grouping and the order.
+stock of its (root, item) and on the stock levels after it. The rows are range-partitioned
+by (root, item) and order, and every block of rows is replayed on arrays (``stacks``):
+
+1. groups that begin in a block start at level 0. The first group of a block may go on from
+   the block before, so its rows wait; what they do to any level is one clamp function;
+2. those functions, one or two for each block, give the levels at which the waiting rows
+   start, and they are replayed from there. What reaches below what the block itself
+   ordered, and what a block leaves, remain as height ranges;
+3. for groups that lie in several blocks, those ranges are handed out by height and
+   matched there, in block order.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillflow.operators.groups import BLOCK, HOT, OrderedGroups, lookup, order_key
-from tillflow.operators.ordered import PARTS, fill, in_parts
+from tillflow.operators.groups import lookup, order_key
+from tillflow.operators.ordered import PARTS, in_parts
+from tillflow.operators.scan import BROADCAST_EDGES, PART, Fill, First, Groups, blocks, in_order, scan, whole_groups
+from tillflow.operators.stacks import PUSH, STAY, VOID, Pieces, clamps, match, replay
 from tillflow.options import CHANGE, SPLIT, GroupLimits
 from tillflow.session import written
 
-PUSH, VOID, STAY = 0, 1, 2
 EVENT = ["root", "time", "child_id", "child_no"]
 
-# What the walk hands on: LEFT units are still in stock, TAKEN ones went to a child bill,
-# DEEP takings reach below the stock the block itself built up.
-LEFT, TAKEN, DEEP = 0, 1, 2
-NO_LINE = (-1, -1)
-
-REPLAYED = ["op", "qty", "seq", "line_no", "start"]
-
-PIECES = (
-    f"root string, item string, {BLOCK} int, piece int, low double, high double, "
-    "seq bigint, line_no int, event_seq bigint, event_line int, stays boolean"
-)
-LEVELS = f"root string, item string, {BLOCK} int, shift double, low double, high double"
-
-
-def _rows(batches: Iterator[pd.DataFrame], cols: list[str]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*[batch[c].tolist() for c in cols])
-
-
-def _frames(rows: Iterator[tuple], schema: str, size: int = 20_000) -> Iterator[pd.DataFrame]:
-    names = [f.strip().split(" ")[0] for f in schema.split(",")]
-    chunk: list[tuple] = []
-    for row in rows:
-        chunk.append(row)
-        if len(chunk) >= size:
-            yield pd.DataFrame(chunk, columns=names, dtype=object)
-            chunk = []
-    if chunk:
-        yield pd.DataFrame(chunk, columns=names, dtype=object)
-
-
-def _block_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What each block does to the stock level: add ``shift``, then clamp to [low, high]."""
-
-    def walk():
-        key, shift, low, high = None, 0.0, 0.0, math.inf
-        for root, item, block, op, qty in _rows(batches, ["root", "item", BLOCK, "op", "qty"]):
-            if key != (root, item, block):
-                if key is not None:
-                    yield (*key, shift, low, high)
-                key, shift, low, high = (root, item, block), 0.0, 0.0, math.inf
-            if op == PUSH:
-                shift, low, high = shift + qty, low + qty, high + qty
-            elif op == VOID:
-                shift, low, high = shift - qty, max(0.0, low - qty), max(0.0, high - qty)
-            else:
-                low, high = min(low, qty), min(high, qty)
-        if key is not None:
-            yield (*key, shift, low, high)
-
-    return _frames(walk(), LEVELS)
-
-
-def _take(stock: list[tuple], level: float, target: float) -> Iterator[tuple]:
-    """Remove the units above ``target``: ``(low, high, line)`` ranges, line None below the stock."""
-    while level > target:
-        if not stock:
-            yield target, level, None
-            return
-        low, high, line = stock.pop()
-        if low < target:
-            stock.append((low, target, line))
-            low = target
-        yield low, high, line
-        level = low
-
-
-def _replay_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Replay each block from its starting level ``start``."""
-
-    def walk():
-        key, stock, level = None, [], 0.0
-        cols = ["root", "item", BLOCK, *REPLAYED]
-        for root, item, block, op, qty, seq, line_no, start in _rows(batches, cols):
-            if key != (root, item, block):
-                for low, high, line in stock:
-                    yield (*key, LEFT, low, high, *line, *NO_LINE, False)
-                key, stock, level = (root, item, block), [], start
-            if op == PUSH:
-                stock.append((level, level + qty, (seq, line_no)))
-                level += qty
-                continue
-            target = max(0.0, level - qty) if op == VOID else min(level, qty)
-            for low, high, line in _take(stock, level, target):
-                if line is None:
-                    yield (*key, DEEP, low, high, *NO_LINE, seq, line_no, op == STAY)
-                elif op == STAY:
-                    yield (*key, TAKEN, low, high, *line, seq, line_no, True)
-            level = target
-        for low, high, line in stock:
-            yield (*key, LEFT, low, high, *line, *NO_LINE, False)
-
-    return _frames(walk(), PIECES)
-
-
-def _replay_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Match what blocks left over within one range of heights, in block order."""
-
-    def walk():
-        key, stock = None, []
-        cols = ["root", "item", "_range", "piece", "low", "high", "seq", "line_no", "event_seq", "event_line", "stays"]
-        for root, item, part, piece, low, high, seq, line_no, event_seq, event_line, stays in _rows(batches, cols):
-            if key != (root, item, part):
-                for a, b, line in stock:
-                    yield (*key, LEFT, a, b, *line, *NO_LINE, False)
-                key, stock = (root, item, part), []
-            if piece == LEFT:
-                stock.append((low, high, (seq, line_no)))
-                continue
-            for a, b, line in _take(stock, high, low):
-                if stays and line is not None:
-                    yield (*key, TAKEN, a, b, *line, event_seq, event_line, True)
-        for a, b, line in stock:
-            yield (*key, LEFT, a, b, *line, *NO_LINE, False)
-
-    return _frames(walk(), PIECES)
-
-
-def _by_group(df: DataFrame, keys: list[str], order: list, cols: list[str]) -> DataFrame:
-    """Whole groups next to each other in one partition, rows in order, only the needed columns."""
-    order = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order]
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).select(*keys, *cols)
-
-
-def split_events(splits: DataFrame, position: list[str]) -> DataFrame:
-    """One row per split event, placed where its first log row stands."""
-    first = F.min_by(F.struct(*[c for c in position if c not in EVENT]), order_key(position))
-    return splits.groupBy(*EVENT).agg(first.alias("_at")).select(*EVENT, "_at.*")
-
-
-def _stock_moves(lines: DataFrame, order: list[str], limits: GroupLimits) -> tuple[DataFrame, DataFrame]:
-    """Pushes, voids and splits of every (root, item) in family order, and the split events."""
-    position = [*order, "seq", "line_no"]
-    own = lines.where((F.col("log_type") == CHANGE) & F.col("is_root"))
-    splits = lines.where((F.col("log_type") == SPLIT) & F.col("child_id").isNotNull() & F.col("child_no").isNotNull())
+# What a replay hands on: LEFT units are still in stock, TAKEN ones went to a child bill, DEEP takings reach below the
+# stock the block itself built up. WAITING rows are to be replayed, and an EDGE is what a block does to a group's level.
+LEFT, TAKEN, DEEP, WAITING, EDGE = range(5)
+
+_FIELDS = {
+    "root": pa.string(), "item": pa.string(), PART: pa.int64(), "piece": pa.int32(), "low": pa.float64(), "high": pa.float64(),
+    "seq": pa.int64(), "line_no": pa.int32(), "event_seq": pa.int64(), "event_line": pa.int32(), "stays": pa.bool_(),
+    "op": pa.int32(), "qty": pa.float64(), "place": pa.int64(), "shift": pa.float64(),
+}
+_DDL = {pa.string(): "string", pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean"}
+PIECES = ", ".join(f"{name} {_DDL[kind]}" for name, kind in _FIELDS.items())
+
+
+def _out(n: int, **columns) -> pa.RecordBatch:
+    """Rows of the common schema; a column that isn't given is null."""
+    arrays = []
+    for name, kind in _FIELDS.items():
+        values = columns.get(name)
+        if isinstance(values, pa.ChunkedArray):
+            values = values.combine_chunks()
+        elif values is not None and not isinstance(values, pa.Array):
+            values = pa.array(np.broadcast_to(values, n))
+        arrays.append(pa.nulls(n, kind) if values is None else values.cast(kind))
+    return pa.RecordBatch.from_arrays(arrays, list(_FIELDS))
+
+
+def _at(rows: np.ndarray) -> pa.Array:
+    return pa.array(rows, mask=rows < 0)
+
+
+def _found(table: pa.Table, pieces: Pieces, split: np.ndarray, lines: tuple[str, str], events: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+    """What is left, what went to child bills, and what reached below; ``split`` tells splits from voids among rows."""
+    takes = pieces.take >= 0
+    stays = takes & split[np.maximum(pieces.take, 0)]
+    kind = np.where(~takes, LEFT, np.where(pieces.push >= 0, TAKEN, DEEP))
+    kept = np.flatnonzero((kind != TAKEN) | stays)
+    push, take = pieces.push[kept], pieces.take[kept]
+    some = np.where(push >= 0, push, take)
+    of = lambda name, at: table.column(name).take(_at(at))
+    yield _out(
+        len(kept),
+        root=of("root", some), item=of("item", some), piece=kind[kept], low=pieces.low[kept], high=pieces.high[kept],
+        seq=of(lines[0], push), line_no=of(lines[1], push), event_seq=of(events[0], take), event_line=of(events[1], take),
+        stays=stays[kept], **({PART: of(PART, some)} if PART in table.column_names else {}),
+    )
+
+
+def _values(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table.column(name).to_numpy() for name in names]
+
+
+LINE = ("seq", "line_no")
+
+
+def _replay_blocks(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for number, block in blocks(batches, most):
+        groups = Groups(block, ["root", "item"])
+        block = block.append_column(PART, pa.array(np.full(groups.n, number)))
+        op, qty = _values(block, "op", "qty")
+        n = int(groups.size[0])
+        waiting = block.slice(0, n)
+        yield _out(n, piece=WAITING, place=np.arange(n), **{c: waiting.column(c) for c in ("root", "item", PART, *LINE, "op", "qty")})
+        one = np.zeros(n, np.int64)
+        whole = clamps(op[:n], qty[:n], one, one[:1])
+        yield _edge(block, 0, whole.shift[-1], whole.low[-1], whole.high[-1])
+        if n < groups.n:
+            first = groups.first[1:] - n
+            pieces, ends = replay(op[n:], qty[n:], groups.group[n:] - 1, first, np.zeros(len(first)))
+            rest = block.slice(n)
+            yield from _found(rest, pieces, op[n:] == STAY, LINE, LINE)
+            # It begins here, so the level at its end is known.
+            yield _edge(block, groups.n - 1, 0.0, ends[-1], ends[-1])
+
+
+def _edge(block: pa.Table, row: int, shift: float, low: float, high: float) -> pa.RecordBatch:
+    at = block.slice(row, 1)
+    return _out(1, piece=EDGE, shift=shift, low=low, high=high, **{c: at.column(c) for c in ("root", "item", PART)})
+
+
+def _replay_waiting(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The groups at the beginnings of blocks, from the levels ``start``."""
+    for table in whole_groups(batches, [PART], most):
+        groups = Groups(table, [PART])
+        op, qty, start = _values(table, "op", "qty", "start")
+        pieces, _ = replay(op, qty, groups.group, groups.first, start[groups.first])
+        yield from _found(table, pieces, op == STAY, LINE, LINE)
+
+
+def _match_ranges_of(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What blocks left over within ranges of heights, in block order."""
+    keys = ["root", "item", "_range"]
+    for table in whole_groups(batches, keys, most):
+        groups = Groups(table, keys)
+        piece, low, high, stays = _values(table, "piece", "low", "high", "stays")
+        pieces = match(groups.first, piece == LEFT, low, high, np.zeros(len(groups.first)))
+        yield from _found(table, pieces, stays, LINE, ("event_seq", "event_line"))
+
+
+def _in_family(lines: DataFrame, position: list[str], limits: GroupLimits) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Log rows that know whether they are the root's, split events, and the units that stay by event and item.
+
+    A row and an event know the next event of the family (``_next``). All this comes from one scan of the family's rows,
+    in which the events stand before the first of their log rows.
+    """
     rest = [c for c in position if c not in EVENT]
     first = F.min_by(F.struct(*rest), order_key(position)).alias("_at")
-    per_item = splits.groupBy(*EVENT, "item").agg(F.sum("qty").alias("qty"), first).select(*EVENT, "item", "qty", "_at.*")
-    events = split_events(per_item, position)
+    splits = lines.where((F.col("log_type") == SPLIT) & F.col("child_id").isNotNull() & F.col("child_no").isNotNull())
+    # Read by several steps below.
+    per_item = written(splits.groupBy(*EVENT, "item").agg(F.sum("qty").alias("qty"), first).select(*EVENT, "item", "qty", "_at.*"))
+    first = F.min_by(F.struct(*rest), order_key(position)).alias("_at")
+    events = per_item.groupBy(*EVENT).agg(first).select(*EVENT, "_at.*")
+    event = F.struct("child_id", "child_no", *[F.col(c).alias(f"_e_{c}") for c in position])
 
+    # The bill that stands for the root: the first one named like it, else the first of all.
+    named_like = F.contains(F.col("id"), F.col("root"))
+    rows = lines.withColumns(
+        {"_kind": F.lit(1), "_named": F.when(named_like, F.col("id")), "_any": F.struct("id")}
+    ).unionByName(events.select("root", *position, F.lit(0).alias("_kind"), event.alias("_event")), allowMissingColumns=True)
+    wanted = [First("_named", "_named"), First("_any", "_any"), Fill("_event", "_next", forward=False, own=False)]
+    rows = scan(rows, ["root"], [*position, "_kind"], wanted, limits)
+    is_root = F.coalesce(F.col("id") == F.coalesce("_named", "_any.id"), F.lit(False))
+    own = rows.where(F.col("_kind") == 1).select(*lines.columns, is_root.alias("is_root"), "_next")
+    events = rows.where(F.col("_kind") == 0).select("root", *position, "_event.child_id", "_event.child_no", "_next")
+    return own, events, per_item
+
+
+def _stock_moves(own: DataFrame, events: DataFrame, per_item: DataFrame, position: list[str], limits: GroupLimits) -> DataFrame:
+    """Pushes, voids and splits of every (root, item) in family order."""
+    own = own.where((F.col("log_type") == CHANGE) & F.col("is_root"))
     # An event that does not name an item still clears it. Only the first event after a
     # line, or after an event that let some units stay, can find stock to clear.
-    named = lookup(
-        per_item.where(F.col("item").isNotNull()).select(*EVENT, "item", "qty"),
-        events,
-        EVENT,
-        "inner",
-        limits,
-    )
+    named = lookup(per_item.where(F.col("item").isNotNull()).select(*EVENT, "item", "qty"), events, EVENT, "inner", limits)
     here = ["root", "item", *position]
-    pushes = own.where(F.col("qty") > 0)
-    marks = (
-        pushes.select(*here, F.lit(1).alias("_kind"))
-        .unionByName(named.select(*here, F.lit(1).alias("_kind")))
-        .unionByName(
-            events.select(
-                "root",
-                *position,
-                F.lit(0).alias("_kind"),
-                F.struct("child_id", "child_no", *[F.col(c).alias(f"_e_{c}") for c in position]).alias("_next"),
-            ),
-            allowMissingColumns=True,
-        )
-    )
-    # Events sort before the rows that stand at their own place.
-    marks = fill(marks, ["root"], [*position, "_kind"], ["_next"], forward=False, limits=limits)
-    cleared = marks.where((F.col("_kind") == 1) & F.col("_next").isNotNull()).select(
+    may_stay = own.where(F.col("qty") > 0).select("root", "item", "_next").unionByName(named.select("root", "item", "_next"))
+    cleared = may_stay.where(F.col("_next").isNotNull()).select(
         "root",
         "item",
         "_next.child_id",
@@ -223,29 +191,30 @@ def _stock_moves(lines: DataFrame, order: list[str], limits: GroupLimits) -> tup
         F.when(F.col("qty") > 0, PUSH).otherwise(VOID).alias("op"),
         F.abs(in_parts(F.col("qty"))).alias("qty"),
     ).unionByName(stays.select(*here, F.lit(STAY).alias("op"), "qty"))
-    return moves, events
+    # Computed once: finding the ranges reads the rows before they are dealt out.
+    return written(moves)
 
 
-def _starts(blocks: DataFrame) -> DataFrame:
-    """The stock level at the start of every block of the cut groups.
+def _starts(edges: DataFrame) -> DataFrame:
+    """The stock level at the start of every block of the groups at the edges of blocks, and in how many blocks they lie.
 
-    One row per block comes in, so a group's blocks fit an array: their number is bounded
-    by the limits on cutting.
+    Two rows per block come in, so a group's blocks fit an array: their number is bounded by the limits on blocks.
     """
-    steps = F.array_sort(F.collect_list(F.struct(BLOCK, "shift", "low", "high")))
-    zero = F.struct(F.lit(0.0).alias("level"), F.array().cast("array<struct<block:int,start:double>>").alias("starts"))
+    steps = F.array_sort(F.collect_list(F.struct(PART, "shift", "low", "high")))
+    zero = F.struct(F.lit(0.0).alias("level"), F.array().cast("array<struct<part:bigint,start:double>>").alias("starts"))
 
-    def step(acc, b):
+    def step(acc: Column, b: Column) -> Column:
         level = F.least(b["high"], F.greatest(b["low"], acc["level"] + b["shift"]))
-        seen = F.struct(b[BLOCK].alias("block"), acc["level"].alias("start"))
+        seen = F.struct(b[PART].alias("part"), acc["level"].alias("start"))
         return F.struct(level.alias("level"), F.concat(acc["starts"], F.array(seen)).alias("starts"))
 
-    return (
-        blocks.groupBy("root", "item")
-        .agg(F.aggregate(steps, zero, step)["starts"].alias("_starts"))
-        .select("root", "item", F.explode("_starts").alias("_s"))
-        .select("root", "item", F.col("_s.block").alias(BLOCK), F.col("_s.start").alias("start"))
-    )
+    groups = edges.groupBy("root", "item").agg(F.aggregate(steps, zero, step)["starts"].alias("_starts"))
+    each = groups.select(F.col("root").alias("_root"), F.col("item").alias("_item"), F.explode("_starts").alias("_s"), F.size("_starts").alias("_blocks"))
+    return each.select("_root", "_item", F.col("_s.part").alias("_in"), F.col("_s.start").alias("start"), "_blocks")
+
+
+def _same_group() -> Column:
+    return (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item"))
 
 
 def _match_ranges(pieces: DataFrame, limits: GroupLimits) -> DataFrame:
@@ -254,31 +223,49 @@ def _match_ranges(pieces: DataFrame, limits: GroupLimits) -> DataFrame:
     Ranges have a fixed width per group. In a block the left-over pieces of a kind do not
     overlap, so a range takes from each block pieces of at most its own width.
     """
-    sizes = pieces.groupBy("root", "item").agg(F.count("*").alias("n"), F.max("high").alias("top"))
+    sizes = pieces.groupBy(F.col("root").alias("_root"), F.col("item").alias("_item")).agg(F.count("*").alias("n"), F.max("high").alias("top"))
     # Powers of two, so that dividing by the width is exact.
     width = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("top") * limits.max_rows / F.col("n"))))
-    widths = sizes.where(F.col("n") > limits.max_rows).select("root", "item", width.alias("_width"))
+    widths = sizes.where(F.col("n") > limits.max_rows).select("_root", "_item", width.alias("_width"))
     low, high, width = F.col("low"), F.col("high"), F.col("_width")
     spans = F.sequence(F.floor(low / width), F.greatest(F.ceil(high / width) - 1, F.floor(low / width)))
     floor = F.col("_range") * width
     parts = (
-        lookup_small(pieces, widths, "left")
+        pieces.join(widths, _same_group(), "left")
         .withColumn("_range", F.explode(F.when(width.isNotNull(), spans).otherwise(F.array(F.lit(0).cast("bigint")))))
         .withColumns({"low": F.greatest(low, floor), "high": F.least(high, floor + width)})
-        .drop("_width")
+        .where(F.col("high") > F.col("low"))
     )
     # In a block the takings come first, from high to low, then its own units, low to high.
-    walk = [F.col(BLOCK), F.desc("piece"), F.when(F.col("piece") == DEEP, -F.col("low")).otherwise(F.col("low"))]
+    walk = [F.col(PART), F.desc("piece"), F.when(F.col("piece") == DEEP, -F.col("low")).otherwise(F.col("low"))]
+    keys = ["root", "item", "_range"]
+    parts = parts.repartition(*keys).sortWithinPartitions(*keys, *walk)
     cols = ["piece", "low", "high", "seq", "line_no", "event_seq", "event_line", "stays"]
-    return _by_group(parts, ["root", "item", "_range"], walk, cols).mapInPandas(_replay_ranges, PIECES)
-
-
-def lookup_small(df: DataFrame, small: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Join to a list of the hot (root, item) pairs."""
-    small = small.withColumnsRenamed({"root": "_root", "item": "_item"})
-    same = (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item"))
-    joined = df.join(small, same, how)
-    return joined.drop("_root", "_item") if how == "left" else joined
+    matched = parts.select(*keys, *cols).mapInArrow(lambda batches: _match_ranges_of(limits.max_rows, batches), PIECES)
+    # A line's units that one event takes may lie in several ranges.
+    line = ["piece", "seq", "line_no", "event_seq", "event_line"]
+    return matched.where(F.col("piece") != DEEP).groupBy(*line).agg(F.sum(F.col("high") - F.col("low")).alias("units"))
+
+
+def _replayed(moves: DataFrame, walk: list[str], limits: GroupLimits) -> DataFrame:
+    """Units by line and event: ``piece, seq, line_no, event_seq, event_line, units``."""
+    most, seen = limits.max_rows, Observation()
+    rows = in_order(moves, ["root", "item"], walk).select("root", "item", "op", "qty", *LINE)
+    found = rows.mapInArrow(lambda batches: _replay_blocks(most, batches), PIECES)
+    found = written(found.observe(seen, F.count_if(F.col("piece") == EDGE).alias("edges")))
+    starts = _starts(found.where(F.col("piece") == EDGE))
+    cut = starts.where(F.col("_blocks") > 1).select("_root", "_item", F.lit(True).alias("_cut")).distinct()
+    if seen.get["edges"] <= BROADCAST_EDGES:
+        starts, cut = F.broadcast(starts), F.broadcast(cut)
+    waiting = found.where(F.col("piece") == WAITING).join(starts, (F.col(PART) == F.col("_in")) & _same_group())
+    waiting = waiting.repartition(PART).sortWithinPartitions(PART, "place").select("root", "item", PART, "op", "qty", *LINE, "start")
+    late = waiting.mapInArrow(lambda batches: _replay_waiting(most, batches), PIECES)
+    pieces = found.where(F.col("piece") < WAITING).unionByName(late).join(cut, _same_group(), "left")
+    is_open = (F.col("piece") != TAKEN) & F.col("_cut").isNotNull()
+    line = ["piece", "seq", "line_no", "event_seq", "event_line"]
+    # Below a group that lies in one block there is nothing.
+    settled = pieces.where(~is_open & (F.col("piece") != DEEP)).select(*line, (F.col("high") - F.col("low")).alias("units"))
+    return settled.unionByName(_match_ranges(pieces.where(is_open).drop("_root", "_item", "_cut"), limits))
 
 
 def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None = None) -> DataFrame:
@@ -291,55 +278,11 @@ def replay_splits(lines: DataFrame, order: list[str], limits: GroupLimits | None
     the order of results decides ties later on.
     """
     limits = limits or GroupLimits()
-    lines = lines.where(F.col("root").isNotNull())
     position = [*order, "seq", "line_no"]
-    at = order_key(position)
-
-    # The bill that stands for the root: the first one named like it, else the first of all.
-    named_like = F.contains(F.col("id"), F.col("root"))
-    roots = lines.groupBy("root").agg(
-        F.coalesce(F.min_by(F.when(named_like, F.col("id")), F.when(named_like, at)), F.min_by("id", at)).alias(
-            "_root_id"
-        )
-    )
-    lines = lookup(lines, roots, ["root"], "left", limits, nulls_match=False)
-    lines = lines.withColumn("is_root", F.coalesce(F.col("id") == F.col("_root_id"), F.lit(False))).drop("_root_id")
-    # Read by several steps below, so it is computed once.
-    lines = written(lines)
-
-    moves, events = _stock_moves(lines, order, limits)
-    walk = [*position, "op"]
-    g = OrderedGroups(moves, ["root", "item"], walk, limits)
-    keys = ["root", "item", BLOCK]
-    if not g.split:
-        moves = g.df.withColumns({BLOCK: F.lit(0), "start": F.lit(0.0)})
-        pieces = written(_by_group(moves, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
-    else:
-        levels = _by_group(g.df.where(HOT), keys, walk, ["op", "qty"]).mapInPandas(_block_levels, LEVELS)
-        cut = lookup_blocks(g.df, _starts(levels))
-        pieces = written(_by_group(cut, keys, walk, REPLAYED).mapInPandas(_replay_blocks, PIECES))
-        cut_groups = g.df.where(HOT).select("root", "item").distinct()
-        whole, parts = lookup_small(pieces, cut_groups, "left_anti"), lookup_small(pieces, cut_groups)
-        matched = _match_ranges(parts.where(F.col("piece") != TAKEN), limits)
-        # A line's units taken by one event may lie in several ranges.
-        matched = (
-            parts.where(F.col("piece") == TAKEN)
-            .unionByName(matched)
-            .groupBy("root", "item", "piece", "seq", "line_no", "event_seq", "event_line")
-            .agg(F.sum(F.col("high") - F.col("low")).alias("high"), F.lit(0.0).alias("low"))
-        )
-        pieces = written(whole.select(*matched.columns).unionByName(matched))
-    return _results(lines, pieces, events, position, limits)
-
-
-def lookup_blocks(cut: DataFrame, starts: DataFrame) -> DataFrame:
-    """Add the starting level; the right side has one row for each block."""
-    names = {"root": "_root", "item": "_item", BLOCK: "_b"}
-    right = starts.withColumnsRenamed(names)
-    same = (
-        (F.col("root") == F.col("_root")) & F.col("item").eqNullSafe(F.col("_item")) & (F.col(BLOCK) == F.col("_b"))
-    )
-    return cut.join(right, same, "left").drop(*names.values()).withColumn("start", F.coalesce("start", F.lit(0.0)))
+    own, events, per_item = _in_family(lines.where(F.col("root").isNotNull()), position, limits)
+    moves = _stock_moves(own, events, per_item, position, limits)
+    pieces = _replayed(moves, [*position, "op"], limits)
+    return _results(own.drop("_next"), pieces, events.drop("_next"), position, limits)
 
 
 def _results(
@@ -349,24 +292,24 @@ def _results(
     lines = lines.where(F.col("log_type") == CHANGE).withColumn("line_at", place())
     passed_on = lines.where(~F.col("is_root")).withColumns({"emit": place(), "at_end": F.lit(0)})
     ordered = lines.where("is_root").withColumnsRenamed({"seq": "_seq", "line_no": "_line"}).drop("qty")
-    pieces = (
-        pieces.where((F.col("high") > F.col("low")) & (F.col("piece") != DEEP))
-        .withColumn("qty", (F.col("high") - F.col("low")) / PARTS)
-        .select("piece", "seq", "line_no", "event_seq", "event_line", "qty")
-        .join(ordered, (F.col("seq") == F.col("_seq")) & (F.col("line_no") == F.col("_line")))
-        .drop("_seq", "_line")
-    )
-    kept = pieces.where(F.col("piece") == LEFT).withColumns(
-        {"emit": F.lit(None).cast(passed_on.schema["emit"].dataType), "at_end": F.lit(1)}
-    )
     events = events.select(
         F.col("seq").alias("event_seq"),
         F.col("line_no").alias("event_line"),
-        F.col("child_id").alias("id"),
-        F.col("child_no").alias("number"),
+        F.col("child_id").alias("_to_id"),
+        F.col("child_no").alias("_to_number"),
         place().alias("emit"),
     )
-    taken = pieces.where(F.col("piece") == TAKEN).drop("id", "number")
-    taken = lookup(taken, events, ["event_seq", "event_line"], "inner", limits, nulls_match=False).withColumn("at_end", F.lit(0))
+    pieces = pieces.withColumn("qty", F.col("units") / PARTS)
+    pieces = pieces.join(ordered, (F.col("seq") == F.col("_seq")) & (F.col("line_no") == F.col("_line")))
+    # What is left has no event.
+    pieces = lookup(pieces, events, ["event_seq", "event_line"], "left", limits, nulls_match=False)
+    taken = F.col("piece") == TAKEN
+    pieces = pieces.withColumns(
+        {
+            "id": F.when(taken, F.col("_to_id")).otherwise(F.col("id")),
+            "number": F.when(taken, F.col("_to_number")).otherwise(F.col("number")),
+            "at_end": F.when(taken, 0).otherwise(1),
+        }
+    )
     out = [c for c in passed_on.columns if c not in ("is_root", "child_id", "child_no")]
-    return passed_on.select(*out).unionByName(kept.select(*out)).unionByName(taken.select(*out))
+    return passed_on.select(*out).unionByName(pieces.select(*out))

@@ -65,7 +65,6 @@ def follow_merges(lines: DataFrame, options: Options) -> DataFrame:
     df = with_types(lines, "number", "log_type", [o.MERGE, o.SPLIT], options)
     df = df.withColumn("target", notes.merged_into(F.col("note")))
     df = fill(df, ["number"], order, ["target"], limits=limits).where(~notes.is_merge_note(F.col("note")))
-    df = written(df)
     seen = ["number", *order]
     links = chains.latest_links(df, "id", "target", seen)
     df = chains.with_end(df, "id", links, "end", limits)
@@ -87,7 +86,6 @@ def split_families(merged: DataFrame, options: Options) -> DataFrame:
     df = df.withColumn("child_id", notes.split_into(F.col("note")))
     df = fill(df, ["id"], before, ["child_id"], limits=limits)
     df = df.withColumn("child_id", F.when(F.col("log_type") == o.SPLIT, F.col("child_id")))
-    df = written(df)
     links = chains.latest_new_links(df, "child_id", "id", before)
     links = links.select("child_id", F.col("id").alias("parent_id"))
     df = written(chains.with_end(df, "id", links, "root", limits))
