@@ -189,6 +189,22 @@ SQL["page_ingest"] = """SELECT event_id, CAST(user_id AS VARCHAR) AS tran_id, ev
   (date_diff('day', DATE '2020-01-01', DATE '2024-02-01') * 131072 + event_id // 20 * 2) * 4294967296
     + event_id % 20 AS seq FROM events"""
 
+_STORE_PAGES = """WITH e AS (
+  SELECT *, strftime(ts, '%Y-%m-%d') AS _date, 's' || (user_id % 3) AS _store_uid,
+    row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id % 3 ORDER BY event_id) - 1 AS place,
+    count(*) OVER (PARTITION BY CAST(ts AS DATE), user_id % 3) AS total FROM events),
+p AS (SELECT *, place // 40 + 1 AS page FROM e WHERE NOT (day(ts) % 5 = 0 AND place // 40 = 1))"""
+
+SQL["page_records"] = f"""{_STORE_PAGES}
+SELECT _date, _store_uid, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created, value AS total_amount,
+  CAST(hour(ts) AS INTEGER) AS start_hour,
+  (date_diff('day', DATE '2020-01-01', CAST(ts AS DATE)) * 131072 + page) * 4294967296 + place % 40 AS seq FROM p"""
+
+SQL["page_manifest"] = f"""{_STORE_PAGES}, c AS (
+  SELECT _date, _store_uid, count(DISTINCT page) AS pages, count(*) AS landed,
+    max(CASE WHEN _store_uid <> 's2' THEN total END) AS announced, max(page) - count(DISTINCT page) AS missing FROM p GROUP BY ALL)
+SELECT *, 0::BIGINT AS open_end, 0::BIGINT AS repeats, missing = 0 AND (announced IS NULL OR landed >= announced) AS complete FROM c"""
+
 SQL["change_only_orders"] = f"""WITH b AS ({BILLS}) SELECT event_id, number, log_type FROM b
 WHERE NOT EXISTS (SELECT 1 FROM b x WHERE x.number = b.number AND x.log_type <> 'SALE_CHANGE')"""
 

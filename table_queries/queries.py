@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from table_queries import views as v
@@ -24,9 +25,9 @@ from tillflow.operators.scan import Count, Fill, scan
 from tillflow.options import CHANGE, LOG_TYPES, MERGE, NO_TOPPING, SPLIT, Options
 from tillflow.plans import daily, invoices, kpi, order_log, reports
 from tillflow.schemas import HEADINGS, columns
-from tillflow.session import written
+from tillflow.session import scratch_dir, written
 from tillflow.sinks.history import appended
-from tillflow.sources import pages
+from tillflow.sources import manifest, pages
 from tillflow.sources.snapshots import in_day, latest_day
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,9 +289,14 @@ def business_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", day.alias("business_day"))
 
 
+def landing(spark: SparkSession) -> str:
+    """A new folder for pages."""
+    return f"{scratch_dir(spark)}/landed-{uuid.uuid4().hex}"
+
+
 @register
 def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events cut into pages of 20, some fetched twice with the same cursor, read back as records."""
+    """Events landed as JSON pages of 20, some fetched twice with the same cursor, read back as records."""
     rows = v.table(spark, sf_dir, "events")
     record = F.struct(
         F.date_format("ts", "dd/MM/yyyy HH:mm").alias("created_at"),
@@ -310,7 +316,10 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = F.when(F.col("n") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     fetched = fetched.withColumn("_again", F.explode(F.when(F.col("n") > 0, again).otherwise(F.array(F.lit(0)))))
     fetched = fetched.select("_date", cursor.alias("cursor"), (F.col("n") * 2 + F.col("_again")).alias("_page"), "data")
-    out = pages.records(pages.without_repeats(fetched), "order_log")
+    landed = landing(spark)
+    fetched.write.partitionBy("_date", "_page").json(f"{landed}/order_log")
+    read = written(pages.read_pages(spark, landed, "order_log"))
+    out = pages.records(manifest.without_repeats(read, manifest.manifest(read, "order_log"), "order_log"), "order_log")
     return out.select(
         F.col("table_name").cast("bigint").alias("event_id"),
         "tran_id",
@@ -321,6 +330,49 @@ def page_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as JSON pages of 40 for each day and store, numbers sent as text on every other page.
+
+    Every fifth day lacks its second pages; one store does not announce how many rows there are.
+    """
+    day, store = F.to_date("ts").cast("string"), F.concat(F.lit("s"), F.col("user_id") % 3)
+    rows = v.table(spark, sf_dir, "events").withColumns({"_date": day, "_store_uid": store})
+    in_feed = Window.partitionBy("_date", "_store_uid")
+    rows = rows.withColumns(
+        {
+            "_page": F.floor((F.row_number().over(in_feed.orderBy("event_id")) - 1) / 40) + 1,
+            "total": F.when(F.col("_store_uid") != "s2", F.count(F.lit(1)).over(in_feed)),
+        }
+    )
+    rows = rows.where(~((F.day(F.col("_date").cast("date")) % 5 == 0) & (F.col("_page") == 2)))
+    amount, hour = F.col("value"), F.hour("ts")
+    sent = lambda a, h: F.to_json(
+        F.struct(F.col("event_id").cast("string").alias("tran_id"), F.unix_timestamp("ts").alias("created_at"), a.alias("total_amount"), h.alias("start_hour"))
+    )
+    as_text = sent(F.concat(F.lit(" "), amount.cast("string")), F.concat(hour.cast("string"), F.lit(".0")))
+    rows = rows.withColumn("_sent", F.when(F.col("_page") % 2 == 0, as_text).otherwise(sent(amount, hour)))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "_sent"))), lambda x: x["_sent"]), ",")
+    total = F.coalesce(F.first("total").cast("string"), F.lit("null"))
+    one = rows.groupBy("_date", "_store_uid", "_page").agg(F.concat(F.lit('{"data": ['), listed, F.lit('], "meta": {"total": '), total, F.lit("}}")).alias("value"))
+    landed = landing(spark)
+    one.write.partitionBy("_date", "_store_uid", "_page").text(f"{landed}/invoice")
+    return written(pages.read_pages(spark, landed, "invoice"))
+
+
+@register
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of landed JSON pages, typed."""
+    out = pages.records(store_pages(spark, sf_dir), "invoice")
+    return out.select("_date", "_store_uid", F.col("tran_id").cast("bigint").alias("event_id"), F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created"),
+                      "total_amount", "start_hour", "seq")
+
+
+@register
+def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which days and stores are complete, told from their landed pages."""
+    return manifest.day_report(manifest.manifest(store_pages(spark, sf_dir), "invoice"))
+
+
 @register
 def change_only_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = v.bills(spark, sf_dir).where(F.col("log_type").isin(*LOG_TYPES))

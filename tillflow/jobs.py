@@ -15,21 +15,38 @@ from tillflow.plans.invoices import invoice_lines
 from tillflow.plans.kpi import StaffTables, staff_tables
 from tillflow.plans.order_log import cancellations, final_lines
 from tillflow.schemas import DAILY_INVOICE, RECORDS, STAFF_INVOICE
-from tillflow.session import build_session, drop_written
+from tillflow.session import build_session, drop_written, written
 from tillflow.sinks.history import log_run, publish
-from tillflow.sources import pages
+from tillflow.sources import manifest, pages
 from tillflow.sources.snapshots import in_day, read_snapshot, run_day, write_snapshot
 
 
-def ingest(spark: SparkSession, landed: str, snapshots: str, dataset: str, day: dt.date, options: Options) -> DataFrame:
-    """Write the day's snapshot from its landed pages; returns rows landed against announced."""
-    landed_pages = pages.read_pages(spark, landed, dataset).where(F.col("_date") == day.isoformat())
-    landed_pages = pages.without_repeats(landed_pages, options.limits)
-    rows = pages.records(landed_pages, dataset)
+class IncompleteDay(ValueError):
+    """Pages of a day are missing."""
+
+
+def ingest(
+    spark: SparkSession, landed: str, snapshots: str, dataset: str, day: dt.date, options: Options, strict: bool = False
+) -> DataFrame:
+    """Write the day's snapshot and manifest from its landed pages; returns the day's report.
+
+    Nothing is written if the landed pages are those of the stored manifest, or if the day is incomplete and ``strict``.
+    """
+    # Parsed once, for the manifest and the records.
+    landed_pages = written(pages.read_pages(spark, landed, dataset).where(F.col("_date") == day.isoformat()))
+    found = written(manifest.manifest(landed_pages, dataset))
+    report = written(manifest.day_report(found))
+    missing = report.where(~F.col("complete"))
+    if strict and not missing.isEmpty():
+        raise IncompleteDay(f"{dataset} of {day}: {missing.count()} feeds are incomplete")
+    if manifest.changes(manifest.read_manifest(spark, snapshots, dataset), found).isEmpty():
+        return report
+    rows = pages.records(manifest.without_repeats(landed_pages, found, dataset, options.limits), dataset)
     if dataset == "invoice" and options.day_opens_at_hour:
         rows = rows.where(in_day(F.col("created_at"), F.lit(day), options.day_opens_at_hour))
     write_snapshot(rows, snapshots, dataset)
-    return pages.page_report(landed_pages, dataset)
+    manifest.write_manifest(found, snapshots, dataset)
+    return report
 
 
 def staff(spark: SparkSession, snapshots: str, day: dt.date, options: Options, literal: bool = False) -> StaffTables:
@@ -54,13 +71,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--stores", help="Parquet table store_uid, store")
     parser.add_argument("--literal", action="store_true", help="payload cells hold Python literals")
+    parser.add_argument("--strict", action="store_true", help="fail at ingest, and keep the old snapshot, if pages are missing")
     args = parser.parse_args(argv)
-    spark, day, options, rows = build_session(), run_day(args.day), Options(), {}
+    spark, day, options, rows, status, message = build_session(), run_day(args.day), Options(), {}, "success", None
     try:
         if args.job == "ingest":
             for dataset in RECORDS:
-                report = ingest(spark, args.landed, args.snapshots, dataset, day, options)
-                rows[dataset] = report.agg(F.coalesce(F.sum("landed"), F.lit(0))).first()[0]
+                report = ingest(spark, args.landed, args.snapshots, dataset, day, options, args.strict)
+                sums = report.agg(F.coalesce(F.sum("landed"), F.lit(0)), F.count_if(~F.col("complete"))).first()
+                rows[dataset] = sums[0]
+                if sums[1]:
+                    status, message = "incomplete", ", ".join(filter(None, [message, dataset]))
         elif args.job == "staff":
             tables = staff(spark, args.snapshots, day, options, args.literal)
             rows = publish(tables.published(), args.out, day, zero_fill_text=options.zero_fill_text)
@@ -70,10 +91,10 @@ def main(argv: list[str] | None = None) -> None:
             rows = publish({"daily_invoice": report}, args.out, day, clean=False)
             stores = invoices_per_store(report).withColumn("date", F.lit(day))
             stores.write.mode("overwrite").partitionBy("date").parquet(f"{args.out}/invoices_per_store")
-        log_run(spark, args.out, args.job, day, rows)
-        print(json.dumps({"status": "success", "date": str(day), "rows": rows}))
+        log_run(spark, args.out, args.job, day, rows, status, message)
+        print(json.dumps({"status": status, "date": str(day), "rows": rows} | ({"message": message} if message else {})))
     except Exception as error:
-        log_run(spark, args.out, args.job, day, rows, str(error))
+        log_run(spark, args.out, args.job, day, rows, "error", str(error))
         print(json.dumps({"status": "error", "message": str(error)}))
         raise
     finally:

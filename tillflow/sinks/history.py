@@ -80,7 +80,9 @@ def publish(
 RUN_LOG = "status string, date date, rows map<string, bigint>, message string"
 
 
-def log_run(spark: SparkSession, path: str, job: str, day: dt.date, rows: Mapping[str, int], error: str | None = None):
-    """One row about the run, in the folder of its job and day."""
-    row = [("error" if error else "success", day, dict(rows), error)]
+def log_run(
+    spark: SparkSession, path: str, job: str, day: dt.date, rows: Mapping[str, int], status: str = "success", message: str | None = None
+) -> None:
+    """One row about the run, in the folder of its job and day; ``status`` is success, incomplete or error."""
+    row = [(status, day, dict(rows), message)]
     spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").json(f"{path}/run_log/job={job}")

@@ -1,6 +1,7 @@
 """Landed response pages of the till's reporting feeds.
 
-One file per page: ``<root>/<dataset>/_date=2024-03-01[/_store_uid=...]/page-0001.json``.
+One file per page: ``<root>/<dataset>/_date=2024-03-01[/_store_uid=...]/page-0001.json``; a job that lands pages may
+give each a folder ``_page=1`` instead.
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.operators.groups import lookup
-from tillflow.options import GroupLimits
 from tillflow.schemas import RECORDS, columns
 
 # Feeds that are fetched once per store, so that the folder names the store.
@@ -22,10 +21,9 @@ FIRST_DAY = dt.date(2020, 1, 1)
 
 
 def page_schema(dataset: str) -> T.StructType:
-    """A page of records. Times are read as text, because feeds send seconds or formatted text."""
-    times = TIME_COLUMNS.get(dataset, ())
+    """A page of records. All is read as text: feeds send times as seconds or formatted, and numbers as text too."""
     fields = [
-        T.StructField(f.name, T.StringType() if f.name in times else f.dataType)
+        T.StructField(f.name, T.StringType())
         for f in RECORDS[dataset].fields
         if not (f.name == "_store_uid" and dataset in PER_STORE)
     ]
@@ -40,6 +38,8 @@ def page_schema(dataset: str) -> T.StructType:
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
+    if "_page" in pages.columns:
+        return pages.withColumn("_page", F.col("_page").cast("bigint"))
     number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json", 1)
     unnumbered = F.raise_error(F.concat(F.lit("page file without a number: "), F.col("_metadata.file_name"))).cast("bigint")
     return pages.withColumn("_page", F.when(number == "", unnumbered).otherwise(number.try_cast("bigint")))
@@ -57,17 +57,6 @@ def stream_pages(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return _numbered(reader.json(f"{root}/{dataset}"))
 
 
-def without_repeats(pages: DataFrame, limits: GroupLimits | None = None) -> DataFrame:
-    """Of pages fetched with the same cursor on the same day, the first one.
-
-    Only page numbers and cursors are shuffled, not the pages.
-    """
-    asked = pages.where(F.col("cursor").isNotNull())
-    first = asked.groupBy("_date", "cursor").agg(F.min("_page").alias("_page"))
-    kept = lookup(asked, first, ["_date", "cursor", "_page"], "left_semi", limits)
-    return pages.where(F.col("cursor").isNull()).unionByName(kept)
-
-
 def place_in_feed() -> Column:
     """Day, page and position packed into one number that sorts in feed order."""
     day = F.date_diff(F.col("_date").cast("date"), F.lit(FIRST_DAY)).cast("bigint")
@@ -87,24 +76,18 @@ def records(pages: DataFrame, dataset: str) -> DataFrame:
     """One row per record with its day, its store where the folder names one, and its place."""
     tags = ["_date"] + (["_store_uid"] if dataset in PER_STORE else [])
     df = pages.select(*tags, "_page", F.posexplode("data").alias("_pos", "_record"))
-    times = TIME_COLUMNS.get(dataset, ())
-    fields = [f.name for f in RECORDS[dataset].fields if f.name not in tags]
     return df.select(
         *tags,
-        *[(event_time(F.col(f"_record.{f}")) if f in times else F.col(f"_record.{f}")).alias(f) for f in fields],
+        *[_typed(F.col(f"_record.{f.name}"), f, dataset).alias(f.name) for f in RECORDS[dataset].fields if f.name not in tags],
         place_in_feed().alias("seq"),
     )
 
 
-def page_report(pages: DataFrame, dataset: str) -> DataFrame:
-    """Rows landed against rows announced, per day and store."""
-    keys = ["_date"] + (["_store_uid"] if dataset in PER_STORE else [])
-    announced = F.coalesce(F.nullif("total", F.lit(0)), F.col("meta.total"))
-    return (
-        pages.groupBy(*keys)
-        .agg(
-            F.sum(F.coalesce(F.size("data"), F.lit(0))).alias("landed"),
-            F.max(announced).alias("announced"),
-        )
-        .withColumn("complete", F.col("announced").isNull() | (F.col("landed") >= F.col("announced")))
-    )
+def _typed(c: Column, field: T.StructField, dataset: str) -> Column:
+    """Text of a record as the field's type; null where it doesn't parse."""
+    if field.name in TIME_COLUMNS.get(dataset, ()):
+        return event_time(c)
+    if isinstance(field.dataType, T.NumericType):
+        # By way of a double, as whole numbers come as "2.0" too.
+        return c.try_cast("double").try_cast(field.dataType)
+    return c

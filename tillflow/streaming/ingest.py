@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow.options import GroupLimits
-from tillflow.sources import pages
+from tillflow.session import written
+from tillflow.sources import manifest, pages
 from tillflow.sources.snapshots import write_snapshot
 
 
@@ -24,8 +25,10 @@ def ingest_new_pages(
     def refresh(new: DataFrame, _batch: int) -> None:
         # As many values as calendar days were touched.
         days = [r["_date"] for r in new.select("_date").distinct().collect()]
-        touched = pages.read_pages(spark, landed, dataset).where(F.col("_date").isin(days))
-        write_snapshot(pages.records(pages.without_repeats(touched, limits), dataset), snapshots, dataset)
+        touched = written(pages.read_pages(spark, landed, dataset).where(F.col("_date").isin(days)))
+        found = written(manifest.manifest(touched, dataset))
+        write_snapshot(pages.records(manifest.without_repeats(touched, found, dataset, limits), dataset), snapshots, dataset)
+        manifest.write_manifest(found, snapshots, dataset)
 
     return (
         pages.stream_pages(spark, landed, dataset)
