@@ -17,6 +17,11 @@ from tillflow.llm.words import NOT_SPACE, chunks, mixed, shingles, words
 from tillflow.session import written
 
 
+#: Shingles are counted by slots of a table of 2**COUNTER_BITS counters; the counts only order the verification.
+COUNTER_BITS = 20
+COUNTER_BLOCK = 1 << 12
+
+
 @dataclass(frozen=True)
 class Join:
     """What counts as a link: ``100 * intersection >= percent * union`` of the sets of ``n``-word shingles."""
@@ -25,8 +30,9 @@ class Join:
     percent: int = 80
     #: Size bands grow by this factor. Two sets that link lie in one band or in neighbouring ones.
     band_growth: float = 1.4
-    #: For the cost of an allocation: the chance that two unrelated sets agree on a shingle.
-    overlap: float = 0.3
+    #: For the cost of an allocation: the chance that two unrelated sets agree on a shingle. It decides how much work there
+    #: is, never the result: a larger value makes more index entries, a smaller one more unrelated candidates.
+    overlap: float = 0.05
 
     def __post_init__(self) -> None:
         if not 1 <= self.percent <= 100 or self.band_growth * self.percent < 100:
@@ -235,18 +241,54 @@ def _connected(buckets: DataFrame, members: DataFrame, join: Join) -> tuple[Data
     return links, written(components(links))
 
 
+def _slots(elements: np.ndarray) -> np.ndarray:
+    return (mixed(elements) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _counted(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counters, in blocks."""
+    total = np.zeros(1 << COUNTER_BITS, np.int64)
+
+    def add(doc_id: int | None, elements: np.ndarray) -> None:
+        np.add.at(total, _slots(elements), 1)
+
+    for _ in _sets(join, batches, add):
+        pass
+    blocks = total.reshape(-1, COUNTER_BLOCK)
+    held = np.flatnonzero(blocks.any(axis=1))
+    offsets = np.arange(len(held) + 1, dtype=np.int32) * COUNTER_BLOCK
+    counts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(blocks[held].ravel().astype(np.int32)))
+    yield pa.RecordBatch.from_arrays([pa.array(held), counts], ["block", "counts"])
+
+
+def _added(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+    counts = np.zeros(COUNTER_BLOCK, np.int64)
+    for values in rows.column("counts"):
+        counts += values.values.to_numpy()
+    return pa.table({"block": [key[0].as_py()], "counts": pa.array([counts], pa.list_(pa.int64()))})
+
+
+def _counters(docs: DataFrame, join: Join) -> np.ndarray:
+    """In how many documents the shingles of each slot are; a table of fixed size, whatever the documents."""
+    found = docs.mapInArrow(lambda batches: _counted(join, batches), "block long, counts array<int>")
+    out = np.zeros((1 << COUNTER_BITS) // COUNTER_BLOCK * COUNTER_BLOCK, np.int64)
+    for row in found.groupBy("block").applyInArrow(_added, "block long, counts array<long>").toLocalIterator():
+        out[row["block"] * COUNTER_BLOCK : (row["block"] + 1) * COUNTER_BLOCK] = row["counts"]
+    return out
+
+
 def _texts(docs: DataFrame, join: Join, nodes: DataFrame) -> DataFrame:
-    """``(node, elements, weight)`` of the candidates, from their texts: their shingles, those that the fewest
-    candidates have first, and in how many candidates a shingle of theirs is on average."""
-    row = lambda doc_id, elements: (doc_id, elements)
-    wanted = docs.select("doc_id", "text").join(written(nodes).withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    texts = written(_map(wanted, join, row, "node elements*").dropDuplicates(["node"]))
-    each = texts.select("node", F.explode("elements").alias("shingle"))
-    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    ordered = each.join(common, "shingle").groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ranked"), F.avg("n").alias("weight")
-    )
-    return ordered.select("node", F.col("ranked.shingle").alias("elements"), "weight")
+    """``(node, weight, elements)`` of the candidates, from their texts: their shingles, those of the slots that the
+    fewest candidates have first, and in how many candidates a slot of theirs is on average."""
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    wanted = wanted.join(written(nodes).withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(_counters(wanted, join))
+
+    def row(doc_id: int | None, elements: np.ndarray) -> tuple:
+        counts = shared.value[_slots(elements)]
+        return doc_id, int(256 * counts.mean()) if len(counts) else 0, elements[np.lexsort((elements, counts))]
+
+    return _map(wanted, join, row, "node weight elements*").dropDuplicates(["node"])
 
 
 def _tried(pairs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
