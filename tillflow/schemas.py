@@ -19,6 +19,7 @@ def columns(text: str) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (c.split() for c in text.split(","))])
 
 
+# The fields of the till's feeds.
 INVOICE = columns(
     "_store_uid string, tran_id string, origin_tran_id string, tran_no string, created_at timestamp, "
     "start_hour int, start_minute int, end_hour int, end_minute int, table_name string, "
