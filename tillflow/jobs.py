@@ -88,9 +88,9 @@ def main(argv: list[str] | None = None) -> None:
             rows["lines_without_number"] = tables.lines_without_number.count()
         else:
             report = daily(spark, args.snapshots, spark.read.parquet(args.stores), day, args.literal)
-            rows = publish({"daily_invoice": report}, args.out, day, clean=False)
-            stores = invoices_per_store(report).withColumn("date", F.lit(day))
-            stores.write.mode("overwrite").partitionBy("date").parquet(f"{args.out}/invoices_per_store")
+            tables = {"daily_invoice": report, "invoices_per_store": invoices_per_store(report)}
+            rows = publish(tables, args.out, day, clean=False)
+            del rows["invoices_per_store"]
         log_run(spark, args.out, args.job, day, rows, status, message)
         print(json.dumps({"status": status, "date": str(day), "rows": rows} | ({"message": message} if message else {})))
     except Exception as error:

@@ -1,8 +1,15 @@
-"""Published tables: history that grows by one day per run, and the run log."""
+"""Published tables: history that grows by one day per run, and the run log.
+
+A run writes its tables beside what is there, each into ``<table>/run_date=<day>/run=<id>``, and then one marker file in
+``_commits`` that names them all. Readers follow the markers, so they see the tables of a day from one run or from the run
+before it, never from both; a run that fails before its marker has published nothing.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,38 +50,137 @@ def for_sheet(df: DataFrame, table: str) -> DataFrame:
 
 
 def in_order(df: DataFrame, table: str) -> DataFrame:
-    """The table's row order; tables without one are only brought to a sensible number of files."""
+    """The table's row order; tables without one are only brought to a sensible number of files.
+
+    The order goes on with a key made of the whole row, so that the ranges of the sort can be cut between rows that agree
+    in the columns people see it by (a day, a minute), and rows that agree in these have a fixed order.
+    """
     if table not in SORTED_BY:
         return df.hint("rebalance")
-    return df.orderBy(
-        *[F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in SORTED_BY[table]]
-    )
+    shown = [F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in SORTED_BY[table]]
+    return df.orderBy(*shown, F.xxhash64(*df.columns))
 
 
-def write_day(df: DataFrame, path: str, day: dt.date, clean: bool = True, zero_fill_text: bool = False) -> int:
-    """Add one run's rows to the history; a rerun of the same day replaces its rows.
+COMMITS = "_commits"
+_MARKER = "sequence bigint, run string, day date, tables map<string, bigint>"
 
-    Returns the number of rows, counted while writing.
-    """
-    df = zero_filled(df, zero_fill_text) if clean else df
-    counted = Observation()
-    df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    df.write.mode("overwrite").parquet(f"{path}/run_date={day}")
-    return counted.get["rows"]
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and what makes its path objects."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    return new(path).getFileSystem(spark._jsc.hadoopConfiguration()), new
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """Markers of all finished runs under ``path``: ``sequence, run, day, tables`` with the rows of each table."""
+    fs, new = _file_system(spark, path)
+    if not fs.exists(new(f"{path}/{COMMITS}")):
+        return spark.createDataFrame([], _MARKER)
+    return spark.read.schema(_MARKER).option("pathGlobFilter", "*.json").json(f"{path}/{COMMITS}")
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+def current_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run that holds each table and day: the last one committed."""
+    runs = committed(spark, path).select("sequence", "run", "day", F.explode("tables").alias("table", "rows"))
+    last = F.max_by(F.struct("run", "rows"), F.struct("sequence", "run"))
+    return runs.groupBy("table", "day").agg(last.alias("_last")).select("table", "day", "_last.*")
+
+
+class StagedRun:
+    """Tables of one day that are to appear together.
+
+    ``write`` stages a table, which no reader sees; ``commit`` makes all of them the day's tables by renaming one file
+    into its place. ``abandon`` removes what was staged.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, day: dt.date) -> None:
+        self.spark, self.path, self.day, self.run = spark, path.rstrip("/"), day, uuid.uuid4().hex
+        self.rows: dict[str, int] = {}
+        self.replaced: list[str] = []
+
+    def _folder(self, table: str, run: str) -> str:
+        return f"{self.path}/{table}/run_date={self.day}/run={run}"
+
+    def write(self, table: str, df: DataFrame) -> int:
+        """Returns the number of rows, counted while writing."""
+        counted = Observation()
+        self.rows[table] = -1  # begun
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(self._folder(table, self.run))
+        self.rows[table] = counted.get["rows"]
+        return self.rows[table]
+
+    def commit(self) -> dict[str, int]:
+        """Publish. What the day's tables held before is no longer read, and kept in ``replaced``."""
+        fs, new = _file_system(self.spark, self.path)
+        mine = F.col("table").isin(*self.rows) & (F.col("day") == F.lit(self.day))
+        self.replaced = [self._folder(r["table"], r["run"]) for r in current_runs(self.spark, self.path).where(mine).collect()]
+        last = committed(self.spark, self.path).agg(F.coalesce(F.max("sequence"), F.lit(0))).first()[0]
+        marker = {"sequence": last + 1, "run": self.run, "day": str(self.day), "tables": self.rows}
+        # The name is the run's own, so two runs at once leave two markers; the later in order counts, for all tables.
+        name = f"{last + 1:020d}-{self.run}"
+        staged, final = (new(f"{self.path}/{COMMITS}/{name}{end}") for end in (".staged", ".json"))
+        out = fs.create(staged, True)
+        out.write(bytearray(json.dumps(marker).encode()))
+        out.close()
+        if not fs.rename(staged, final):
+            raise OSError(f"the marker of run {self.run} could not be put in place")
+        return dict(self.rows)
+
+    def abandon(self) -> None:
+        """Remove what was staged and not committed."""
+        self._remove([self._folder(table, self.run) for table in self.rows])
+
+    def clear(self) -> None:
+        """Remove the rows that this run replaced."""
+        self._remove(self.replaced)
+
+    def _remove(self, folders: list[str]) -> None:
+        fs, new = _file_system(self.spark, self.path)
+        for folder in folders:
+            fs.delete(new(folder), True)
+
+
+def read_history(
+    spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """The published table in folder ``path``, of all days or those from ``first`` to ``last``, with its ``run_date``.
+
+    Only the folders of committed runs are listed and read. A column that a day does not have is null there.
+    """
+    root, table = path.rstrip("/").rsplit("/", 1)
+    runs = current_runs(spark, root).where(F.col("table") == table)
+    if first:
+        runs = runs.where(F.col("day") >= F.lit(first))
+    if last:
+        runs = runs.where(F.col("day") <= F.lit(last))
+    # One row for each day.
+    folders = [f"{path}/run_date={r['day']}/run={r['run']}" for r in runs.orderBy("day").collect()]
+    if not folders:
+        raise FileNotFoundError(f"nothing is published of {table} under {root}")
+    df = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders)
+    return df.drop("run")
 
 
 def publish(
     tables: Mapping[str, DataFrame], path: str, day: dt.date, clean: bool = True, zero_fill_text: bool = False
 ) -> dict[str, int]:
-    """Write the tables in the given order; returns rows per table."""
-    return {
-        name: write_day(for_sheet(in_order(df, name), name), f"{path}/{name}", day, clean, zero_fill_text)
-        for name, df in tables.items()
-    }
+    """Publish tables of a day together; a rerun of the day replaces its rows. Returns rows per table.
+
+    A table with headings gets them; every table is written in its order.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    run = StagedRun(spark, path, day)
+    try:
+        for name, df in tables.items():
+            df = in_order(df, name)
+            df = for_sheet(df, name) if name in HEADINGS else df
+            run.write(name, zero_filled(df, zero_fill_text) if clean else df)
+        rows = run.commit()
+    except BaseException:
+        run.abandon()
+        raise
+    run.clear()
+    return rows
 
 
 RUN_LOG = "status string, date date, rows map<string, bigint>, message string"
