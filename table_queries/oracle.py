@@ -447,3 +447,58 @@ SQL["upsell_rate"] = f"""WITH b AS (SELECT employee, number, max(CAST(category =
   FROM ({SALES}) GROUP BY ALL)
 SELECT employee, count(*) AS bills, CAST(sum(hit) AS BIGINT) AS upsold, round_even(sum(hit) / count(*) * 100, 0) / 100 AS upsell_rate
 FROM b GROUP BY employee"""
+
+# Lines of the log and of the invoices, each with its number among equal ones; an open line takes the facts of the same
+# line, then of the nearest one before or after it on the bill, then of the bill.
+_FACTS = ("store", "number", "table_", "guests", "customer_class", "phone")
+_B_LINE = ", ".join(f"{c.strip()} AS b_{c.strip()}" for c in LINE.split(","))
+_B_ORDER = ", ".join(f"b_{c.strip()} NULLS LAST" for c in LINE.split(","))
+MATCHED = f"""log AS (
+  SELECT *, CASE WHEN id IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY id, item, l_quantity ORDER BY {NET_ORDER}) END AS mark
+  FROM (SELECT CASE WHEN o_custkey % 11 <> 0 THEN 'O' || l_orderkey END AS id, p_type AS item, {LINE} FROM {LINES}
+        WHERE l_linestatus = 'O')),
+billed AS (
+  SELECT *, CAST(trunc(qty) AS DOUBLE) AS whole, row_number() OVER (PARTITION BY id, item, qty ORDER BY {NET_ORDER.replace("l_", "b_l_")}) AS mark
+  FROM (SELECT 'O' || l_orderkey AS id, p_type AS item, l_quantity + CASE WHEN l_partkey % 2 = 0 THEN 0.25 ELSE 0 END AS qty,
+          CASE WHEN l_orderkey % 13 <> 0 AND l_partkey % 4 <> 0 THEN 'N' || l_orderkey END AS number,
+          CASE WHEN l_partkey % 3 <> 0 THEN 'S' || (o_custkey % 5) END AS store,
+          CASE WHEN l_suppkey % 2 = 0 THEN l_linenumber END AS guests, o_orderpriority AS table_, {PHONE} AS phone,
+          {customer_class(PHONE, TIER)} AS customer_class, {_B_LINE} FROM {LINES} WHERE l_returnflag <> 'R')),
+joined AS (
+  SELECT l.*, b.* EXCLUDE (id, item, qty, whole, mark) FROM log l
+  LEFT JOIN billed b ON l.id = b.id AND l.item = b.item AND l.l_quantity = b.whole AND l.mark = b.mark),
+near AS (
+  SELECT * EXCLUDE ({", ".join(_FACTS)}), number IS NOT NULL AS own, {", ".join(
+      f"CASE WHEN id IS NOT NULL THEN coalesce(last_value({c} IGNORE NULLS) OVER up, first_value({c} IGNORE NULLS) OVER down) END AS {c}"
+      for c in _FACTS)}
+  FROM joined
+  WINDOW up AS (PARTITION BY id ORDER BY item, l_shipdate, l_linenumber % 2, l_linenumber, {LINE}, {_B_ORDER}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    down AS (PARTITION BY id ORDER BY item, l_shipdate, l_linenumber % 2, l_linenumber, {LINE}, {_B_ORDER}
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+firsts AS (
+  SELECT id, max(guests) AS guests, {", ".join(
+      f"first({c} ORDER BY number NULLS LAST, o_time, item, {_B_ORDER}) FILTER ({c} IS NOT NULL) AS {c}"
+      for c in _FACTS if c != "guests")}
+  FROM (SELECT b.*, o_orderdate AS o_time FROM billed b JOIN orders ON b_l_orderkey = o_orderkey) GROUP BY id),
+matched AS (
+  SELECT n.*, {", ".join(f"coalesce(n.{c}, f.{c}) AS found_{c}" for c in _FACTS)},
+    CASE WHEN own THEN 'line' WHEN n.number IS NOT NULL THEN 'bill' WHEN f.number IS NOT NULL THEN 'id' ELSE 'none' END AS matched_by
+  FROM near n LEFT JOIN firsts f ON n.id = f.id)"""
+
+SQL["sales_lines"] = f"""WITH {MATCHED}
+SELECT {calendar('l_shipdate')}, found_store AS store, found_number AS number, found_customer_class AS customer_class, item,
+  l_extendedprice AS price, 'E' || l_suppkey AS employee, found_table_ AS "table", l_returnflag AS log_type,
+  CAST(l_quantity AS INTEGER) AS qty, found_guests AS guests, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS time,
+  l_extendedprice AS revenue, found_phone AS phone FROM matched WHERE found_number IS NOT NULL"""
+
+SQL["match_residuals"] = f"WITH {MATCHED} SELECT matched_by, count(*) AS lines FROM matched GROUP BY ALL"
+
+SQL["published_days"] = f"""SELECT *, CASE WHEN CAST(substr(number, 2) AS BIGINT) % 2 = 1 THEN DATE '2024-03-01' ELSE DATE '2024-03-02' END
+  AS run_date FROM ({SQL["daily_invoice_report"]})"""
+
+SQL["close_time_kept"] = f"""WITH m AS (
+  SELECT CASE WHEN p_type <> 'PROMO' THEN 'of ' || p_type END AS category, o_orderkey % 180 AS minutes
+  FROM {LINES} WHERE o_custkey % 7 <> 0)
+SELECT category, count(*) AS lines, round(avg(minutes), 4) AS mean_minutes, median(minutes) AS median_minutes
+FROM m GROUP BY category"""

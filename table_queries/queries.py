@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -26,7 +27,7 @@ from tillflow.options import CHANGE, LOG_TYPES, MERGE, NO_TOPPING, SPLIT, Option
 from tillflow.plans import daily, invoices, kpi, order_log, reports
 from tillflow.schemas import HEADINGS, columns
 from tillflow.session import scratch_dir, written
-from tillflow.sinks.history import appended
+from tillflow.sinks.history import appended, from_sheet, publish, read_history
 from tillflow.sources import manifest, pages
 from tillflow.sources.snapshots import in_day, latest_day
 
@@ -489,6 +490,52 @@ def occurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def matched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open lines as final order lines, lines not returned as invoice lines; an order is a bill.
+
+    Of the order lines some have no id, of the invoice lines some have no number, store or guests, and half have a
+    quantity with a fraction, which is dropped before they are compared.
+    """
+    df = v.lines(spark, sf_dir)
+    number, key = F.concat(F.lit("N"), "l_orderkey"), ["id", "item", "qty"]
+    bill = F.concat(F.lit("O"), "l_orderkey")
+    final = df.where(F.col("l_linestatus") == "O").select(
+        F.when(F.col("o_custkey") % 11 != 0, bill).alias("id"), number.alias("number"), F.col("p_type").alias("item"),
+        F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"), F.col("l_extendedprice").alias("revenue"),
+        F.concat(F.lit("E"), "l_suppkey").alias("employee"), F.col("l_returnflag").alias("log_type"),
+        F.col("l_shipdate").alias("time"), *[c.alias(n) for n, c in s.calendar(F.col("l_shipdate")).items()],
+        (F.col("l_linenumber") % 2).alias("branch"), bill.alias("root"), F.lit(0).alias("at_end"),
+        F.col("l_linenumber").alias("emit"), F.struct(*v.LINE).alias("line_at"), *[F.col(c).alias(f"o{c}") for c in NET_ORDER],
+    )
+    final = occurrence_number(final, key, [f"o{c}" for c in NET_ORDER], limits=OPTIONS.limits)
+    billed = df.where(F.col("l_returnflag") != "R").select(
+        bill.alias("id"), F.col("p_type").alias("item"),
+        (F.col("l_quantity") + F.when(F.col("l_partkey") % 2 == 0, 0.25).otherwise(0.0)).alias("qty"),
+        F.when((F.col("l_orderkey") % 13 != 0) & (F.col("l_partkey") % 4 != 0), number).alias("number"),
+        F.when(F.col("l_partkey") % 3 != 0, F.concat(F.lit("S"), F.col("o_custkey") % 5)).alias("store"),
+        F.when(F.col("l_suppkey") % 2 == 0, F.col("l_linenumber")).alias("guests"),
+        F.col("o_orderpriority").alias("table"), v.phone("o_custkey").alias("phone"), F.col("o_totalprice").alias("total"),
+        s.customer_class(v.phone("o_custkey"), v.tier("o_custkey")).alias("customer_class"),
+        F.col("o_orderdate").alias("created_at"), F.struct(*v.LINE).alias("invoice_seq"), F.lit(0).alias("line_seq"),
+        *[F.col(c).alias(f"o{c}") for c in NET_ORDER],
+    )
+    billed = occurrence_number(billed, key, [f"o{c}" for c in NET_ORDER], limits=OPTIONS.limits)
+    return kpi.match_lines(final, written(billed), OPTIONS)
+
+
+@register
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final lines with the facts of their bill: from the same line, from other lines of the bill, from the bill."""
+    df = kpi.sales_lines(matched_lines(spark, sf_dir))
+    return df.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register
+def match_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines got their bill by which rule."""
+    return kpi.match_residuals(matched_lines(spark, sf_dir))
+
+
 @register
 def first_per_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = first_per_key(v.table(spark, sf_dir, "lineitem"), ["l_orderkey"], v.LINE)
@@ -632,6 +679,24 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return appended(old, new)
 
 
+@register
+def published_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of invoices published in order and read back; the first day is published again, with fewer rows."""
+    df = daily_invoices(spark, sf_dir).withColumn("gross", s.money(F.col("gross")))
+    kept = ("guests", "tier", "name", "phone")
+    df = df.withColumns({c: F.lit(None).cast("string") for c in kept})
+    out = landing(spark)
+    first, second = dt.date(2024, 3, 1), dt.date(2024, 3, 2)
+    odd = F.pmod(F.substring("number", 2, 18).cast("bigint"), F.lit(2)) == 1
+    publish({"daily_invoice": df, "invoices_per_store": daily.invoices_per_store(df)}, out, first, clean=False)
+    publish({"daily_invoice": df.where(~odd)}, out, second, clean=False)
+    publish({"daily_invoice": df.where(odd)}, out, first, clean=False)
+    rows = read_history(spark, f"{out}/daily_invoice")
+    shown = from_sheet(rows.drop("run_date"), "daily_invoice").columns
+    rows = rows.select("run_date", *[F.col(f"`{HEADINGS['daily_invoice'][c]}`").alias(c) for c in shown if c not in kept])
+    return rows.withColumn("date", F.to_date("date", "dd/MM/yyyy"))
+
+
 @register
 def revenue_aov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.revenue_trend(daily_invoices(spark, sf_dir))
@@ -693,6 +758,21 @@ def close_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.order_to_close(df)
 
 
+@register
+def close_time_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes from order to closing, summed from the counts kept of two parts of the time."""
+    df = v.lines(spark, sf_dir)
+    number = F.concat(F.lit("N"), F.col("l_orderkey"))
+    sales = df.select(number.alias("number"), F.col("p_type").alias("item"), F.col("o_orderdate").alias("time"))
+    orders = v.table(spark, sf_dir, "orders")
+    closed = F.col("o_orderdate") + F.make_interval(mins=(F.col("o_orderkey") % 180).cast("int"))
+    customers = orders.where(F.col("o_custkey") % 7 != 0).select(F.concat(F.lit("N"), "o_orderkey").alias("number"), closed.alias("time"))
+    categories = df.where(F.col("p_type") != "PROMO").select(F.col("p_type").alias("item"), F.concat(F.lit("of "), "p_type").alias("category"))
+    early = F.month("time") <= 6
+    kept = [reports.close_counts(reports.minutes_to_close(sales.where(part), customers, categories)) for part in (early, ~early)]
+    return reports.close_summary(kept[0].unionByName(kept[1]))
+
+
 @register
 def upsell_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.upsell_rate(v.sales(spark, sf_dir), F.col("category") == "PROMO")

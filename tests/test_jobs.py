@@ -1,5 +1,6 @@
 """The jobs end to end on landed pages of one hand-made day."""
 
+import argparse
 import datetime as dt
 import json
 import os
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillflow import jobs
 from tillflow.options import Options
+from tillflow.plans import kpi
 from tillflow.schemas import HEADINGS, RECORDS
 from tillflow.sinks import history
 from tillflow.sources import pages, snapshots
@@ -300,6 +302,55 @@ def test_command_line(tmp_path):
     assert not list(scratch.glob("tillflow-*"))
 
 
+def test_match_residuals_tell_the_rule(spark, folders, tables):
+    got = {r["matched_by"]: r["lines"] for r in tables.match_residuals.collect()}
+    assert sum(got.values()) == 5 and got["line"] >= 1 and "none" not in got
+
+
+def test_own_rates_do_not_pair(spark):
+    """An employee of two stores: four rows with paired rates, two without."""
+    rows = [(DAY, s, f"{s}{i}", 2, c, "An", "09", 10.0, 0, 0.0) for s in "PQ" for i, c in enumerate(["Khách quay lại", "Khách lẻ"][: 2 if s == "P" else 1])]
+    schema = "date date, store string, number string, guests int, customer_class string, employee string, phone string, revenue double, cancel_count long, cancel_qty double"
+    orders = kpi.with_calendar(spark.createDataFrame(rows, schema))
+    paired = kpi.staff_kpi(orders, ("Khách quay lại",)).collect()
+    own = {r["store"]: r["identified_rate"] for r in kpi.staff_kpi(orders, ("Khách quay lại",), pair_rates=False).collect()}
+    assert len(paired) == 4 and own == {"P": 1.0, "Q": 2.0}
+
+
+def test_switches():
+    parser = argparse.ArgumentParser()
+    jobs.add_switches(parser)
+    assert jobs.options_of(parser.parse_args([])) == Options()
+    given = ["--include-merge-only", "--reprice-after-netting", "--keep-null-phone", "--no-pair-rates", "--zero-fill-text"]
+    given += ["--day-opens-at-hour", "2", "--identified-classes", "a", "b", "--max-rows", "5"]
+    assert jobs.options_of(parser.parse_args(given)) == Options(
+        True, True, ("a", "b"), True, False, True, 2, Options().limits.__class__(5)
+    )
+
+
+def test_report(spark, folders, tables, tmp_path):
+    """Two days published, then the figures of both; the second day's minutes are added to the first's."""
+    out, snap, next_day = str(tmp_path), f"{folders[0]}/snap", DAY + dt.timedelta(days=1)
+    stores = spark.createDataFrame([("s1", "THU")], "store_uid string, store string")
+    for day in (DAY, next_day):
+        history.publish(tables.published(), out, day)
+        history.publish({"daily_invoice": jobs.daily(spark, snap, stores, day)}, out, day, clean=False)
+    one = jobs.report(spark, snap, out, DAY, upsell=["Drinks"])
+    assert set(one) == {
+        "revenue_trend", "peak_hours", "item_velocity", "guest_shares", "preferred_category", "staff_checkouts",
+        "cancel_outliers", "price_overrides", "close_time", "upsell_rate",
+    }
+    first = history.read_history(spark, f"{out}/reports/close_time", DAY, DAY).first()
+    jobs.report(spark, snap, out, next_day, DAY, ["Drinks"])
+    both = history.read_history(spark, f"{out}/reports/close_time", next_day, next_day).first()
+    assert (first["category"], first["lines"]) == ("Drinks", 5) and both["lines"] == 10
+    assert both["mean_minutes"] == first["mean_minutes"] and both["median_minutes"] == first["median_minutes"]
+    checkouts = history.read_history(spark, f"{out}/reports/staff_checkouts", next_day, next_day).where("employee = 'An'").first()
+    assert checkouts["revenue"] == 560.0 and checkouts["checkouts"] == 3
+    upsell = history.read_history(spark, f"{out}/reports/upsell_rate", next_day, next_day)
+    assert {r["employee"]: r["upsell_rate"] for r in upsell.collect()} == {"An": 1.0, "Bình": 1.0}
+
+
 def test_run_day():
     assert snapshots.run_day("2024-03-05") == dt.date(2024, 3, 5)
     late = dt.datetime(2024, 3, 1, 17, 30, tzinfo=dt.timezone.utc)

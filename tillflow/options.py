@@ -57,6 +57,7 @@ class Options:
     # The rate looks for two texts; the first is not a class that is ever assigned.
     identified_classes: tuple[str, ...] = ("Khách hàng mới", RETURNING_GUEST)
     keep_null_phone: bool = False
+    pair_rates: bool = True
     zero_fill_text: bool = False
     day_opens_at_hour: int = 0
     limits: GroupLimits = field(default_factory=GroupLimits)

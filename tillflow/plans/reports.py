@@ -90,23 +90,37 @@ def price_overrides(
     return df.where(F.col(price) != F.col("usual_price"))
 
 
+def close_counts(lines: DataFrame) -> DataFrame:
+    """Lines per category and whole minutes from order to closing: of a day, what any period's figures need."""
+    return lines.where(F.col("minutes").isNotNull()).groupBy("category", "minutes").agg(F.count("*").alias("lines"))
+
+
+def close_summary(counts: DataFrame) -> DataFrame:
+    """Mean and median minutes per category, from the counts of one or more days."""
+    return counts.groupBy("category").agg(
+        F.sum("lines").alias("lines"),
+        F.round(F.sum(F.col("minutes") * F.col("lines")) / F.sum("lines"), 4).alias("mean_minutes"),
+        F.expr("percentile(minutes, 0.5, lines)").alias("median_minutes"),
+    )
+
+
 def order_to_close(lines: DataFrame) -> DataFrame:
     """Minutes from order to closing per category: mean and median.
 
     Counting the lines per minute value first keeps the state of the exact median small.
     """
-    counts = lines.where(F.col("minutes").isNotNull()).groupBy("category", "minutes").agg(F.count("*").alias("_n"))
-    return counts.groupBy("category").agg(
-        F.sum("_n").alias("lines"),
-        F.round(F.sum(F.col("minutes") * F.col("_n")) / F.sum("_n"), 4).alias("mean_minutes"),
-        F.expr("percentile(minutes, 0.5, _n)").alias("median_minutes"),
-    )
+    return close_summary(close_counts(lines))
+
+
+def with_category(lines: DataFrame, categories: DataFrame) -> DataFrame:
+    """Lines with the category of their item, the first in the alphabet if it has several."""
+    return lookup(lines, categories.groupBy("item").agg(F.min("category").alias("category")), ["item"], "left")
 
 
 def minutes_to_close(sales: DataFrame, customers: DataFrame, categories: DataFrame) -> DataFrame:
     """Sales lines with category and minutes from order to closing, the input of ``order_to_close``."""
     df = lookup(sales, customers.select("number", F.col("time").alias("closed")), ["number"], "inner")
-    df = lookup(df, categories.groupBy("item").agg(F.min("category").alias("category")), ["item"], "left")
+    df = with_category(df, categories)
     return df.withColumn("minutes", F.timestamp_diff("MINUTE", F.col("time"), F.col("closed")))
 
 

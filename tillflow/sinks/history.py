@@ -49,6 +49,14 @@ def for_sheet(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def from_sheet(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a published table under their own names, dates as dates."""
+    names = HEADINGS[table]
+    return df.select(
+        *[(F.to_date(f"`{h}`", "dd/MM/yyyy") if c == "date" else F.col(f"`{h}`")).alias(c) for c, h in names.items()]
+    )
+
+
 def in_order(df: DataFrame, table: str) -> DataFrame:
     """The table's row order; tables without one are only brought to a sensible number of files.
 
@@ -183,12 +191,22 @@ def publish(
     return rows
 
 
-RUN_LOG = "status string, date date, rows map<string, bigint>, message string"
+RUN_LOG = "status string, date date, rows map<string, bigint>, message string, matched map<string, bigint>"
 
 
 def log_run(
-    spark: SparkSession, path: str, job: str, day: dt.date, rows: Mapping[str, int], status: str = "success", message: str | None = None
+    spark: SparkSession,
+    path: str,
+    job: str,
+    day: dt.date,
+    rows: Mapping[str, int],
+    status: str = "success",
+    message: str | None = None,
+    matched: Mapping[str, int] | None = None,
 ) -> None:
-    """One row about the run, in the folder of its job and day; ``status`` is success, incomplete or error."""
-    row = [(status, day, dict(rows), message)]
+    """One row about the run, in the folder of its job and day; ``status`` is success, incomplete or error.
+
+    ``matched`` counts the lines by the rule that gave them their bill.
+    """
+    row = [(status, day, dict(rows), message, matched and dict(matched))]
     spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").json(f"{path}/run_log/job={job}")
