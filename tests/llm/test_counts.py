@@ -37,6 +37,28 @@ def test_word_hashes_tell_words_apart(edge_rows, random_texts, kind, split):
     assert len(by_hash) == len({w for t in texts for w in split(t)})
 
 
+def colliding(n):
+    """Two different words of ``n`` letters that a polynomial modulo 2**64 takes for one if ``n`` is 1,024 or more."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 255, 256, 257, 1024, 4096])
+def test_words_of_a_pattern_do_not_collide(n):
+    one, other = colliding(n)
+    hashes = [h[0] for h in words.hash_words([one, other, one.upper(), one], words.ALNUM)]
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2] == hashes[3]
+
+
+def test_colliding_words_have_no_links_hits_or_counts(spark, documents):
+    one, other = colliding(1024)
+    docs = documents([(1, one), (2, other), (3, other.upper())])
+    assert {r["doc_id"]: r["component_id"] for r in near_classes(docs, Join(3, 90)).collect()} == {1: 1, 2: 2, 3: 2}
+    items = spark.createDataFrame([("x", one)], "item_id string, text string")
+    hits = {r["doc_id"]: r["n_hit"] for r in decontaminate.find_passages(docs, items).collect()}
+    assert hits == {1: 1, 2: 0, 3: 0}
+
+
 def test_chunks_of_any_size_give_the_same_words(random_texts):
     import pyarrow as pa
 

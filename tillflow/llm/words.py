@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -12,6 +13,10 @@ import pyarrow.compute as pc
 #: Bytes of text handled at once; bounds the memory of the work arrays. A longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
 
+#: Bytes of the longest word that the polynomial hash is used for. It is computed modulo a power of two, for which long words
+#: of a known pattern (Thue-Morse words and their complements, from 1,024 letters) are equal; longer words get a BLAKE2 digest.
+LONG_WORD = 256
+
 _ODD = 0x9E3779B97F4A7C15  # multiplier of the polynomial hash; odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -115,6 +120,10 @@ def words(chunk: Chunk, letters: np.ndarray) -> Words:
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:n], dtype=np.uint64, out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        # lower() of bytes changes A-Z alone.
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes().lower(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
     return Words(hashes, starts, ends, np.searchsorted(starts, bounds))
 
 
