@@ -34,6 +34,53 @@ def test_names_in_the_article(n_pages):
     assert [t.removeprefix("Title\n") for t in texts_of(sources)] == want
 
 
+def test_deep_pages():
+    """Unlike pages of thousands of nested elements are aligned, not refused."""
+    sources, want = [], []
+    for i in range(4):
+        depth, inner = 5000 + i, words(6)
+        sources.append("<body><article>" + "<div>" * depth + f"<p>{inner}</p>" + "<b>x</b>" * (i % 2) + "</div>" * depth + "</article></body>")
+        want.append(inner + "\nx" * (i % 2))
+    assert texts_of(sources) == want
+
+
+def tree_matching(a, b):
+    """Brute force: the largest matching of two trees, by the recursion that defines it."""
+    if a.tag != b.tag:
+        return 0
+    best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + tree_matching(x, y))
+    return 1 + best[-1][-1]
+
+
+def test_tree_matching_against_brute_force():
+    rng = random.Random(5)
+
+    def tree(depth):
+        inner = "".join(tree(depth - 1) for _ in range(rng.randrange(4))) if depth else ""
+        tag = rng.choice(["div", "span", "ul"])
+        return f"<{tag}>{inner}{'x' * rng.randrange(2)}</{tag}>"
+
+    for _ in range(60):
+        one, two = (wrappers.parse(tree(4)) for _ in range(2))
+        shapes = wrappers.Shapes()
+        assert shapes.match(shapes.number(one), shapes.number(two)) == tree_matching(one, two)
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_edge_pages(spark, copies):
+    """Null, empty and repeated pages, no URL, columns of clashing names; and an empty table."""
+    rows = [(1, "http://h.org/1", None), (2, "http://h.org/2", ""), (3, None, "<p>three</p>"), (None, None, None)] * copies
+    schema = "page_id long, url string, html string"
+    got = wrappers.extract(spark.createDataFrame([(*r, "x", "y", 1) for r in rows], f"{schema}, host string, text string, part int"))
+    assert got.columns == ["page_id", "url", "text"]
+    want = [(1, "http://h.org/1", ""), (2, "http://h.org/2", ""), (3, None, "three"), (None, None, "")] * copies
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert wrappers.extract(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_formulas_are_kept():
     formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>a=2</annotation></semantics></math>"
     assert texts_of([f"<article><p>Let {formula} hold.</p></article>"]) == ["Let a=2 hold."]

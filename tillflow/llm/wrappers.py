@@ -176,25 +176,47 @@ class Shapes:
         return node.shape
 
     def match(self, a: int, b: int) -> int:
-        """Nodes of a largest matching that keeps roots, parents and the order of children."""
+        """Nodes of a largest matching that keeps roots, parents and the order of children.
+
+        Children are matched before their parents, on a stack of its own, so that pages may be nested to any depth.
+        """
         if a == b:
             return self.sizes[a]
         if self.tags[a] != self.tags[b]:
             return 0
-        key = (a, b)
-        if key not in self.known:
-            self.known[key] = 1  # in case a page is too deep for its own good
-            self.known[key] = 1 + sum(self.match(self.children[a][i], self.children[b][j]) for i, j in self.pairs(self.children[a], self.children[b]))
-        return self.known[key]
+        stack = [(a, b)]
+        while stack:
+            key = stack[-1]
+            if key not in self.known:
+                one, two = self.children[key[0]], self.children[key[1]]
+                low, high = self.ends(one, two)
+                inner = {
+                    (x, y)
+                    for x in set(one[low : len(one) - high])
+                    for y in set(two[low : len(two) - high])
+                    if x != y and self.tags[x] == self.tags[y] and (x, y) not in self.known
+                }
+                if inner:
+                    stack.extend(inner)
+                    continue
+                self.known[key] = 1 + sum(self.match(one[i], two[j]) for i, j in self.pairs(one, two))
+            stack.pop()
+        return self.known[a, b]
 
-    def pairs(self, one: tuple[int, ...], two: tuple[int, ...]) -> list[tuple[int, int]]:
-        """Which children to match: equal ones at both ends, and in between the best alignment."""
+    @staticmethod
+    def ends(one: tuple[int, ...], two: tuple[int, ...]) -> tuple[int, int]:
+        """How many children are equal at the start, and of the others at the end."""
         low, high = 0, 0
         least = min(len(one), len(two))
         while low < least and one[low] == two[low]:
             low += 1
         while high < least - low and one[-1 - high] == two[-1 - high]:
             high += 1
+        return low, high
+
+    def pairs(self, one: tuple[int, ...], two: tuple[int, ...]) -> list[tuple[int, int]]:
+        """Which children to match: equal ones at both ends, and in between the best alignment."""
+        low, high = self.ends(one, two)
         ends = [(i, i) for i in range(low)] + [(len(one) - 1 - i, len(two) - 1 - i) for i in range(high)]
         a, b = one[low : len(one) - high], two[low : len(two) - high]
         if not a or not b:
