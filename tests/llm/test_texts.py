@@ -145,6 +145,32 @@ def test_pieces_of_nothing(documents, model):
     assert encode(documents([]), model).collect() == []
 
 
+@pytest.mark.parametrize(("piece", "kind"), [("a▁b", 1), ("<sep>", 4)])
+def test_models_that_cannot_be_matched_are_refused(tmp_path, piece, kind):
+    from sentencepiece import sentencepiece_model_pb2
+
+    other = sentencepiece_model_pb2.ModelProto()
+    with open(PIECE_MODEL, "rb") as file:
+        other.ParseFromString(file.read())
+    other.pieces[-1].piece, other.pieces[-1].type = piece, kind
+    path = tmp_path / "other.model"
+    path.write_bytes(other.SerializeToString())
+    with pytest.raises(ValueError, match="only models"):
+        PieceModel.load(str(path))
+
+
+def test_words_of_earlier_generations_are_encoded_alike(model, monkeypatch):
+    from tillflow.llm import pieces
+
+    monkeypatch.setattr(pieces, "CACHED_WORDS", 20)
+    monkeypatch.setattr(pieces, "KNOWN_PAIRS", 50)
+    rng, known, encoder = random.Random(5), pieces._Known(model), Encoder(model)
+    for _ in range(40):
+        words = sorted({MARK + "".join(rng.choice("thenioß") for _ in range(rng.randint(1, 3))) for _ in range(15)})
+        assert [tuple(memoryview(ids).cast("i")) for ids in known.of(words)] == list(encoder.encode(words))
+        assert not known.lost and len(known.now) <= 20 + 2 * 15
+
+
 def test_summed_scores_give_the_best_segmentation():
     rng = random.Random(4)
     for _ in range(20):

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +15,14 @@ from pyspark.sql import functions as F
 
 #: Stands for a space in pieces.
 MARK = "▁"
-#: Encodings that a task keeps for words that come again.
+#: A task keeps the encodings of about so many words that come again, and of as many that came before them.
 CACHED_WORDS = 200_000
+#: Pairs of pieces for which a task remembers whether they can be neighbours.
+KNOWN_PAIRS = 1 << 20
 #: Texts whose distinct words are put into one trie: so many characters.
 BLOCK_CHARS = 4 << 20
 
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_END = ""
 
 
 @dataclass(frozen=True)
@@ -45,6 +48,10 @@ class PieceModel:
             raise ValueError("only models that leave texts as they are and mark their beginning")
         kinds = type(model.pieces[0])
         ordinary = [(i, p) for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL]
+        if any(p.type == kinds.USER_DEFINED for p in model.pieces):
+            raise ValueError("only models without user-defined pieces")
+        if any(MARK in p.piece.lstrip(MARK) for _, p in ordinary):
+            raise ValueError("only models whose pieces have marks in front")
         bytes_from = next((i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE), None)
         return PieceModel(
             {p.piece: i for i, p in ordinary},
@@ -55,11 +62,17 @@ class PieceModel:
         )
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class Encoder:
     """Encodes marked words in sorted order: a depth-first walk of the trie of the words.
 
     For every prefix on the path to the current word it keeps the last piece of the prefix's best segmentation and
-    the pieces that have begun. The next word starts from the states of the prefix it shares with this one.
+    its state: the longest end of the prefix with which a piece begins. A state knows all pieces that end there, so a
+    character costs one step and not one for each piece that has begun. The next word starts from the states of the
+    prefix it shares with this one.
 
     With scores that are summed (unigram models), the best segmentation is Viterbi's. With merges, every prefix has
     one survivor: the segmentation in which no two neighbours would have been merged across their border. Whether two
@@ -68,26 +81,42 @@ class Encoder:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.root: dict = {}
-        for piece, number in model.pieces.items():
-            node = self.root
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[_END] = (number, piece, model.scores[piece])
+        self.beginnings = {piece[:i] for piece in model.pieces for i in range(1, len(piece) + 1)}
         self.far = min(model.scores.values(), default=0.0) - 10
         self.neighbours: dict[tuple, bool] = {}
+        #: The text of each state, the pieces that end there (longest first: length, piece, ids, score) and the states
+        #: that characters lead to, as far as they are known. State 0 is empty.
+        self.texts, self.ends, self.steps = [""], [()], [{}]
+        self.states = {"": 0}
+
+    def _step(self, state: int, c: str) -> int:
+        text = self.texts[state] + c
+        while text and text not in self.beginnings:
+            text = text[1:]
+        after = self.states.get(text)
+        if after is None:
+            after = self.states[text] = len(self.texts)
+            pieces, scores = self.model.pieces, self.model.scores
+            found = (text[i:] for i in range(len(text)))
+            self.texts.append(text)
+            self.ends.append(tuple((len(e), e, _packed([pieces[e]]), scores[e]) for e in found if e in pieces))
+            self.steps.append({})
+        # Characters with which no piece begins are not remembered: there may be any number.
+        if after or c in self.beginnings:
+            self.steps[state][c] = after
+        return after
 
     def _merged(self, symbols: list[str]) -> list[str]:
-        scores = self.model.scores
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
+        """Joins the two neighbours with the best score, the leftmost of equals, as long as any can be joined."""
+        score, none = self.model.scores.get, float("-inf")
+        pairs = [score(a + b, none) for a, b in pairwise(symbols)]
+        while pairs and (best := max(pairs)) > none:
+            at = pairs.index(best)
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del pairs[at]
+            for i in (at - 1, at):
+                if 0 <= i < len(pairs):
+                    pairs[i] = score(symbols[i] + symbols[i + 1], none)
         return symbols
 
     def _can_follow(self, before: str | None, piece: str) -> bool:
@@ -96,19 +125,26 @@ class Encoder:
         if known is None:
             text = (before or "") + piece
             known = self._merged(list(text)) == ([before, piece] if before else [piece])
+            if len(self.neighbours) >= KNOWN_PAIRS:
+                self.neighbours.clear()
             self.neighbours[key] = known
         return known
 
-    def _unknown(self, c: str) -> tuple[int, ...]:
+    def _unknown(self, c: str) -> bytes:
         if self.model.bytes_from is None:
-            return (self.model.unknown,)
-        return tuple(self.model.bytes_from + b for b in c.encode("utf-8"))
+            return _packed([self.model.unknown])
+        return _packed([self.model.bytes_from + b for b in c.encode("utf-8")])
 
     def encode(self, words: Iterable[str]) -> Iterator[tuple[int, ...]]:
         """Ids of each word; ``words`` are sorted and different."""
-        merges, root = self.model.merges, self.root
-        # For the prefix of each length: where its last piece starts, the piece and ids, the score, and open pieces.
-        starts, lasts, ids, scores, opens = [0], [None], [()], [0.0], [()]
+        for ids in self.packed(words):
+            yield tuple(memoryview(ids).cast("i"))
+
+    def packed(self, words: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each word, as packed 32-bit numbers; ``words`` are sorted and different."""
+        merges, all_steps, all_ends, neighbours = self.model.merges, self.steps, self.ends, self.neighbours
+        # For the prefix of each length: where its last piece starts, the piece and ids, the score, and the state.
+        starts, lasts, ids, scores, states = [0], [None], [b""], [0.0], [0]
         previous = ""
         for word in words:
             shared = 0
@@ -116,47 +152,44 @@ class Encoder:
                 if a != b:
                     break
                 shared += 1
-            for states in (starts, lasts, ids, scores, opens):
-                del states[shared + 1 :]
+            for kept in (starts, lasts, ids, scores, states):
+                del kept[shared + 1 :]
+            state = states[shared]
             for at in range(shared, len(word)):
                 c = word[at]
-                going, chosen, best = [], None, None
-                for start, node in (*opens[at], (at, root)):
-                    node = node.get(c)
-                    if node is None:
-                        continue
-                    going.append((start, node))
-                    end = node.get(_END)
-                    if end is None:
-                        continue
-                    if merges:
-                        if chosen is None:
-                            key = (lasts[start], end[1])
-                            fits = self.neighbours.get(key)
-                            if self._can_follow(*key) if fits is None else fits:
-                                chosen = (start, end)
-                    else:
-                        score = scores[start] + end[2]
+                after = all_steps[state].get(c)
+                state = self._step(state, c) if after is None else after
+                chosen, best = None, None
+                if merges:
+                    for end in all_ends[state]:
+                        before = lasts[at + 1 - end[0]]
+                        fits = neighbours.get((before, end[1]))
+                        if self._can_follow(before, end[1]) if fits is None else fits:
+                            chosen, best = end, 0.0
+                            break
+                else:
+                    for end in all_ends[state]:
+                        score = scores[at + 1 - end[0]] + end[3]
                         if best is None or score > best:
-                            chosen, best = (start, end), score
-                opens.append(going)
+                            chosen, best = end, score
+                states.append(state)
                 if chosen is None:
                     starts.append(at)
                     lasts.append(None)
                     ids.append(self._unknown(c))
                     scores.append(scores[at] + self.far)
                 else:
-                    start, end = chosen
-                    starts.append(start)
-                    lasts.append(end[1])
-                    ids.append((end[0],))
-                    scores.append(0.0 if merges else best)
+                    starts.append(at + 1 - chosen[0])
+                    lasts.append(chosen[1])
+                    ids.append(chosen[2])
+                    scores.append(best)
             previous = word
             at, out = len(word), []
             while at:
                 out.append(ids[at])
                 at = starts[at]
-            yield tuple(i for part in reversed(out) for i in part)
+            out.reverse()
+            yield b"".join(out)
 
 
 class Decoder:
@@ -189,32 +222,74 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield low, len(texts)
 
 
-def _encode(encoder: Encoder, decoder: Decoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: dict[str, tuple[int, ...]] = {}
+class _Known:
+    """Encodings of words that come again: those used since the last change of generation, and those of the generation
+    before. The few that decoding doesn't give back are listed."""
+
+    def __init__(self, model: PieceModel):
+        self.encoder, self.decoder = Encoder(model), Decoder(model)
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.lost: set[str] = set()
+
+    def of(self, words: list[str]) -> list[bytes]:
+        """For different words, sorted."""
+        if len(self.now) > CACHED_WORDS:
+            self.before, self.now = self.now, {}
+            self.lost.intersection_update(self.before)
+        now, before = self.now, self.before
+        fresh = []
+        for w in words:
+            if w not in now:
+                known = before.get(w)
+                if known is None:
+                    fresh.append(w)
+                else:
+                    now[w] = known
+        raw = self.decoder.raw
+        for w, ids in zip(fresh, self.encoder.packed(fresh), strict=True):
+            now[w] = ids
+            if b"".join([raw[i] for i in memoryview(ids).cast("i")]) != w.replace(MARK, " ").encode():
+                self.lost.add(w)
+        return [now[w] for w in words]
+
+
+#: Of the model that this Python worker used last; its next task goes on with it.
+_LAST: dict[str, _Known] = {}
+
+
+def _known(name: str, model: tuple) -> _Known:
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = _Known(PieceModel(*model))
+    return _LAST[name]
+
+
+def _encode(known: _Known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
         for low, high in _blocks(texts):
             split = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[low:high]]
-            numbers = {w: i for i, w in enumerate(sorted({w for found in split for w in found}))}
-            fresh = [w for w in numbers if w not in cache]
-            if len(cache) + len(fresh) > CACHED_WORDS:
-                known = {w: cache[w] for w in numbers if w in cache}
-                cache.clear()
-                cache.update(known)
-            cache.update(zip(fresh, encoder.encode(fresh), strict=True))
-            encoded = [cache[w] for w in numbers]
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            flat = np.fromiter((i for ids in encoded for i in ids), np.int32, int(lengths.sum()))
+            numbers = {w: i for i, w in enumerate(sorted(set().union(*split)))}
+            encoded = known.of(list(numbers))
+            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+            flat = np.frombuffer(b"".join(encoded), np.int32)
             first = np.concatenate([[0], np.cumsum(lengths)])
             # Where each document's ids come from: runs of the flat array, word by word.
-            word = np.fromiter((numbers[w] for found in split for w in found), np.int64, sum(map(len, split)))
+            word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
             count = lengths[word]
             until = np.cumsum(count)
             ids = flat[np.repeat(first[word] - (until - count), count) + np.arange(int(until[-1]) if len(until) else 0)]
             words_until = np.cumsum([0, *map(len, split)])
             offsets = np.concatenate([[0], until])[words_until].astype(np.int32)
-            listed = ids.tolist()
-            exact = [t is None or decoder.decode(listed[a:b]) == t for t, a, b in zip(texts[low:high], offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            # A text whose words all come back comes back, unless it holds the mark itself. Others are decoded.
+            lost = np.zeros(len(numbers), np.int64)
+            lost[[numbers[w] for w in known.lost if w in numbers]] = 1
+            lost = np.diff(np.concatenate([[0], np.cumsum(lost[word])])[words_until])
+            exact = [
+                t is None or (not n and MARK not in t) or known.decoder.decode(ids[a:b].tolist()) == t
+                for t, n, a, b in zip(texts[low:high], lost.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+            ]
             rest = batch.drop_columns(["text"]).slice(low, high - low)
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())), pa.array(exact, pa.bool_())],
@@ -234,10 +309,10 @@ def encode(docs: DataFrame, model: PieceModel) -> DataFrame:
     of_id = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = PieceModel(*shared.value)
-        yield from _encode(Encoder(got), Decoder(got), batches)
+        yield from _encode(_known(name, shared.value), batches)
 
     return rows.mapInArrow(run, f"doc_id {of_id}, ids array<int>, exact boolean")
 
