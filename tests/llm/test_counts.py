@@ -78,9 +78,10 @@ def scores_of(rows, model):
         for i in range(len(d)):
             longest = min(model.order, i + 1)
             for k in range(longest, 0, -1):
-                n = counts[k - 1][tuple(d[i - k + 1 : i + 1])]
-                if k == 1 or n >= model.min_count:
-                    context = counts[k - 2][tuple(d[i - k + 1 : i])] if k > 1 else total
+                less = 0 if model.own or k == 1 else 1
+                n = counts[k - 1][tuple(d[i - k + 1 : i + 1])] - less
+                if n > 0:
+                    context = counts[k - 2][tuple(d[i - k + 1 : i])] - less if k > 1 else total
                     log += math.log(n / context) + (longest - k) * math.log(model.backoff)
                     backed += k < longest
                     break
@@ -88,7 +89,7 @@ def scores_of(rows, model):
     return out
 
 
-@pytest.mark.parametrize("model", [LanguageModel(), LanguageModel(order=1), LanguageModel(order=2, min_count=1), LanguageModel(order=4, backoff=0.1)])
+@pytest.mark.parametrize("model", [LanguageModel(), LanguageModel(order=1), LanguageModel(order=2, own=True), LanguageModel(order=4, own=True), LanguageModel(order=4, backoff=0.1)])
 @pytest.mark.parametrize("block_bytes", [1 << 20, 400])
 def test_scores(documents, random_texts, edge_rows, model, block_bytes):
     rows = random_texts + [r for r in edge_rows if r[0] != 5]

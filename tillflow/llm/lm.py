@@ -23,18 +23,27 @@ BUCKET_KEYS = 1 << 21
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Longest n-gram; what a shorter context costs; and how often an n-gram of two words or more must occur to count."""
+    """Longest n-gram; what a shorter context costs; and whether the occurrence that is scored counts for itself.
+
+    A corpus that is scored under its own counts holds every n-gram at least once. If the scored occurrence counts too,
+    nothing ever backs off; so it is left out, and what counts are the other occurrences.
+    """
 
     order: int = 3
     backoff: float = 0.4
-    min_count: int = 2
+    own: bool = False
+
+    @property
+    def left_out(self) -> int:
+        return 0 if self.own else 1
 
 
 class _Block:
     """The words of a block of documents, and the counts of their n-grams as far as they are known.
 
-    An n-gram can be frequent enough only if the two shorter ones within it are. So the keys of order k are those
-    whose parts of order k - 1 are in the count table, which makes them few.
+    ``counts`` are those of the occurrences that speak for a word. An n-gram has others beside the scored one only if the
+    two shorter n-grams within it have. So the keys of order k are those whose parts have others; the rest has none, and
+    asking the count table would tell nothing else.
     """
 
     def __init__(self, texts: pa.ChunkedArray, model: LanguageModel, buckets: int):
@@ -47,9 +56,9 @@ class _Block:
         self.hashes, self.n_words = np.concatenate(hashes), np.concatenate(counts)
         self.doc = np.repeat(np.arange(len(self.n_words)), self.n_words)
         self.grams = self.hashes  # of the order at hand; entry i ends at word i
-        self.at = np.arange(len(self.hashes))  # words at which an n-gram of this order ends that may be counted
+        self.at = np.arange(len(self.hashes))  # words at which an n-gram of this order ends that can have occurrences
         self.order = 1
-        #: For each order, the count of the n-gram that ends at each word, 0 if unknown or too rare.
+        #: For each order, the count of the n-gram that ends at each word, without the scored one if it is left out.
         self.counts: list[np.ndarray] = []
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,10 +74,10 @@ class _Block:
         totals = np.concatenate([_unpacked_counts(r, int(n)) for r, n in zip(rows, np.diff(first), strict=True)])
         count = np.zeros(len(self.hashes), np.int64)
         found = totals[self.inverse]
-        count[self.at] = np.where(found >= (self.model.min_count if self.order > 1 else 1), found, 0)
+        count[self.at] = found - self.model.left_out
         self.counts.append(count)
         self.order += 1
-        good = count >= self.model.min_count
+        good = count > 0
         longer = np.zeros(len(good), bool)
         longer[1:] = good[1:] & good[:-1]
         place = np.arange(len(self.doc)) - np.concatenate([[0], np.cumsum(self.n_words)])[self.doc]
@@ -82,7 +91,8 @@ class _Block:
         """Per document: the sum of log scores but for the corpus size, words scored alone, and words backed off."""
         n, order = len(self.hashes), self.model.order
         place = np.arange(n) - np.concatenate([[0], np.cumsum(self.n_words)])[self.doc]
-        log = np.log(np.maximum(self.counts[0], 1).astype(np.float64)) if n else np.zeros(0)
+        # A word alone scores its share of all words, itself among them, so that no score is zero.
+        log = np.log((self.counts[0] + self.model.left_out).astype(np.float64)) if n else np.zeros(0)
         used = np.ones(n, np.int64)
         for k in range(2, order + 1):
             have = np.flatnonzero(self.counts[k - 1] > 0)
@@ -141,16 +151,17 @@ def score(docs: DataFrame, model: LanguageModel = LanguageModel(), block_bytes:
     """Scores every document under the n-gram counts of all documents.
 
     Words are runs of letters and digits, A-Z lower-cased. A word scores the share of its n-gram among the
-    occurrences of the context, for the longest n-gram up to ``order`` that occurs ``min_count`` times in the corpus
-    (so that more than the word itself speaks for it); every word by which the context is shortened multiplies the
-    score by ``backoff``; a word alone scores its share of all words. Returns ``doc_id, n_words, n_backed_off,
+    occurrences of the context, for the longest n-gram up to ``order`` that occurs in the corpus; every word by which the
+    context is shortened multiplies the score by ``backoff``; a word alone scores its share of all words. All n-grams
+    count, but the scored occurrence itself is left out of its n-gram's and its context's count (see
+    :class:`LanguageModel`); a word alone counts with itself. Returns ``doc_id, n_words, n_backed_off,
     log_score, mean_log_score`` for every row: the words that were backed off, the sum of the logarithms and their
     mean (null without words). A null text has no words; rows that repeat an id are documents of their own; other
     columns are ignored.
 
     Documents are dealt into blocks by a hash. For each order, a block sends its different n-grams with their counts
     to the hash partitions of the count table, which add them up and return the sums. The next order takes only
-    n-grams whose parts occurred often enough. Texts are shuffled once; blocks and buckets hold a bounded number of
+    n-grams whose parts have occurrences beside the scored one; the others can have none. Texts are shuffled once; blocks and buckets hold a bounded number of
     bytes on average at any size of the corpus, so a word that makes up a third of the corpus is one entry of each
     block.
     """

@@ -195,13 +195,13 @@ SQL: dict[str, str] = {
                    CASE WHEN p > 1 THEN w[p - 1] END AS v1, CASE WHEN p > 2 THEN w[p - 2 : p - 1] END AS v2
             FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)
         ), c1 AS (SELECT w1 AS g, count(*) AS n FROM tokens GROUP BY g),
-        c2 AS (SELECT w2 AS g, count(*) AS n FROM tokens WHERE w2 IS NOT NULL GROUP BY g HAVING n > 1),
-        c3 AS (SELECT w3 AS g, count(*) AS n FROM tokens WHERE w3 IS NOT NULL GROUP BY g HAVING n > 1),
+        c2 AS (SELECT w2 AS g, count(*) AS n FROM tokens WHERE w2 IS NOT NULL GROUP BY g),
+        c3 AS (SELECT w3 AS g, count(*) AS n FROM tokens WHERE w3 IS NOT NULL GROUP BY g),
         scored AS (
             SELECT doc_id,
-                   CASE WHEN c3.n > 0 THEN ln(c3.n / b2.n) WHEN c2.n > 0 THEN ln(c2.n / b1.n)
+                   CASE WHEN c3.n > 1 THEN ln((c3.n - 1) / (b2.n - 1)) WHEN c2.n > 1 THEN ln((c2.n - 1) / (b1.n - 1))
                         ELSE ln(c1.n / (SELECT count(*) FROM tokens)) END AS s,
-                   CASE WHEN c3.n > 0 THEN 0 WHEN c2.n > 0 THEN least(p, 3) - 2 ELSE least(p, 3) - 1 END AS back
+                   CASE WHEN c3.n > 1 THEN 0 WHEN c2.n > 1 THEN least(p, 3) - 2 ELSE least(p, 3) - 1 END AS back
             FROM tokens JOIN c1 ON c1.g = w1 LEFT JOIN c2 ON c2.g = w2 LEFT JOIN c3 ON c3.g = w3
             LEFT JOIN c1 b1 ON b1.g = v1 LEFT JOIN c2 b2 ON b2.g = v2
         ), sums AS (
