@@ -21,7 +21,8 @@ from tillflow.schemas import DAILY_INVOICE, RECORDS, STAFF_INVOICE
 from tillflow.session import build_session, drop_written, written
 from tillflow.sinks.history import log_run, publish
 from tillflow.sources import manifest, pages
-from tillflow.sources.snapshots import in_day, read_snapshot, run_day, write_snapshot
+from tillflow.sources.business_day import not_landed, read_business_day
+from tillflow.sources.snapshots import run_day, write_snapshot
 
 
 class IncompleteDay(ValueError):
@@ -45,8 +46,6 @@ def ingest(
     if manifest.changes(manifest.read_manifest(spark, snapshots, dataset), found).isEmpty():
         return report
     rows = pages.records(manifest.without_repeats(landed_pages, found, dataset, options.limits), dataset)
-    if dataset == "invoice" and options.day_opens_at_hour:
-        rows = rows.where(in_day(F.col("created_at"), F.lit(day), options.day_opens_at_hour))
     write_snapshot(rows, snapshots, dataset)
     manifest.write_manifest(found, snapshots, dataset)
     return report
@@ -54,25 +53,34 @@ def ingest(
 
 def staff(spark: SparkSession, snapshots: str, day: dt.date, options: Options, literal: bool = False) -> StaffTables:
     def read(dataset: str, columns=None) -> DataFrame:
-        return read_snapshot(spark, snapshots, dataset, day, columns)
+        return read_business_day(spark, snapshots, dataset, day, options.day_opens_at_hour, columns, options.limits)
 
     lines = invoice_lines(read("invoice", STAFF_INVOICE), read("invoice_line"), options, literal)
     final = final_lines(read("order_log"), options, literal)
     return staff_tables(lines, final, cancellations(read("removed_item"), literal), options)
 
 
-def daily(spark: SparkSession, snapshots: str, stores: DataFrame, day: dt.date, literal: bool = False) -> DataFrame:
-    return daily_report(read_snapshot(spark, snapshots, "invoice", day, DAILY_INVOICE), stores, literal)
+def daily(
+    spark: SparkSession, snapshots: str, stores: DataFrame, day: dt.date, literal: bool = False, opens_at_hour: int = 0
+) -> DataFrame:
+    invoices = read_business_day(spark, snapshots, "invoice", day, opens_at_hour, DAILY_INVOICE)
+    return daily_report(invoices, stores, literal)
 
 
 def report(
-    spark: SparkSession, snapshots: str, out: str, day: dt.date, first: dt.date | None = None, upsell: Sequence[str] = ()
+    spark: SparkSession,
+    snapshots: str,
+    out: str,
+    day: dt.date,
+    first: dt.date | None = None,
+    upsell: Sequence[str] = (),
+    opens_at_hour: int = 0,
 ) -> dict[str, int]:
     """Keep the day's counts, then publish the figures of the days ``first`` (else the day alone) to ``day``.
 
     A day of the period for which the job never ran has no counts, so the job is run once for each day.
     """
-    keep_day(spark, snapshots, out, day)
+    keep_day(spark, snapshots, out, day, opens_at_hour)
     return publish(period_figures(spark, out, first or day, day, upsell), f"{out}/reports", day, clean=False)
 
 
@@ -131,12 +139,16 @@ def main(argv: list[str] | None = None) -> None:
             matched = {r["matched_by"]: r["lines"] for r in tables.match_residuals.collect()}
             rows["lines_without_number"] = tables.lines_without_number.count()
         elif args.job == "report":
-            rows = report(spark, args.snapshots, args.out, day, args.first, args.upsell)
+            rows = report(spark, args.snapshots, args.out, day, args.first, args.upsell, options.day_opens_at_hour)
         else:
-            invoices = daily(spark, args.snapshots, spark.read.parquet(args.stores), day, args.literal)
+            invoices = daily(spark, args.snapshots, spark.read.parquet(args.stores), day, args.literal, options.day_opens_at_hour)
             tables = {"daily_invoice": invoices, "invoices_per_store": invoices_per_store(invoices)}
             rows = publish(tables, args.out, day, clean=False)
             del rows["invoices_per_store"]
+        if args.job in ("staff", "daily"):
+            missing = not_landed(spark, args.snapshots, day, options.day_opens_at_hour)
+            if missing:
+                status, message = "incomplete", "next day not landed: " + ", ".join(missing)
         log_run(spark, args.out, args.job, day, rows, status, message, matched)
         print(json.dumps({"status": status, "date": str(day), "rows": rows} | ({"message": message} if message else {})))
     except Exception as error:

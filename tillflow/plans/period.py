@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillflow.plans import reports
 from tillflow.sinks.history import from_sheet, publish, read_history
-from tillflow.sources.snapshots import read_snapshot
+from tillflow.sources.business_day import read_business_day
 
 #: What is kept of each day for the periods it lies in.
 KEPT = ("close_minutes", "item_category")
@@ -20,13 +20,13 @@ def published(spark: SparkSession, out: str, table: str, first: dt.date, last: d
     return from_sheet(read_history(spark, f"{out}/{table}", first, last), table)
 
 
-def keep_day(spark: SparkSession, snapshots: str, out: str, day: dt.date) -> dict[str, int]:
+def keep_day(spark: SparkSession, snapshots: str, out: str, day: dt.date, opens_at_hour: int = 0) -> dict[str, int]:
     """Publish a day's counts of lines per category and minutes, and the categories of its items.
 
     They are as large as the menu, however many lines the day has, so a period reads no lines for them.
     """
     sales, customers = (published(spark, out, t, day, day) for t in ("sales_lines", "customer_invoice"))
-    items = read_snapshot(spark, snapshots, "invoice_line", day, ["item_name", "item_type_name"])
+    items = read_business_day(spark, snapshots, "invoice_line", day, opens_at_hour, ["item_name", "item_type_name"])
     items = items.select(F.col("item_name").alias("item"), F.col("item_type_name").alias("category"))
     items = items.where(F.col("category").isNotNull()).groupBy("item", "category").agg(F.count("*").alias("lines"))
     minutes = reports.close_counts(reports.minutes_to_close(sales, customers, items))
