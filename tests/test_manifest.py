@@ -1,6 +1,7 @@
 """Pages that repeat, come late, change or never come."""
 
 import datetime as dt
+import glob
 import json
 import os
 import subprocess
@@ -119,3 +120,31 @@ def test_command_line_tells_an_incomplete_day(tmp_path, strict):
     (logged,) = [json.loads(x) for d, _, names in os.walk(f"{root}/out/run_log") for n in names if n.endswith(".json") for x in open(f"{d}/{n}")]
     assert told["status"] == logged["status"] == ("error" if strict else "incomplete")
     assert "invoice" in told["message"] and (done.returncode != 0) == strict
+
+
+def test_pages_of_a_bundle_are_numbered_by_themselves(spark, tmp_path):
+    sent = [(str(DAY), store, n, json.dumps({"_page": n, "data": [bill(n)], "total": 3})) for store in ("s1", "s2") for n in (1, 3, 1500)]
+    pages.write_bundles(spark.createDataFrame(sent, "_date string, _store_uid string, _page bigint, value string"), str(tmp_path), "invoice")
+    got = pages.read_pages(spark, str(tmp_path), "invoice", bundled=True)
+    assert sorted((r["_store_uid"], r["_page"], r["data"][0]["tran_id"]) for r in got.collect()) == [
+        (store, n, f"X{n}") for store in ("s1", "s2") for n in (1, 3, 1500)
+    ]
+    report = manifest.day_report(manifest.manifest(got, "invoice")).collect()
+    assert sorted((r["_store_uid"], r["pages"], r["missing"], r["complete"]) for r in report) == [(s, 3, 1497, False) for s in ("s1", "s2")]
+
+
+@pytest.mark.parametrize("query", ["page_ingest", "page_records", "page_manifest"])
+def test_the_files_of_a_feed_do_not_grow_with_its_pages(spark, tmp_path, query):
+    from table_queries.queries import REGISTERED
+    from tillflow.session import scratch_dir
+
+    events = spark.range(4000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 08:00:00' + make_dt_interval(0, 0, cast(id % 60 as int)) as ts", "id % 7 as user_id",
+        "'view' as event_type", "id / 4.0d as value", "'{}' as props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    before = set(glob.glob(f"{scratch_dir(spark)}/landed-*"))
+    REGISTERED[query](spark, str(tmp_path)).collect()
+    (landed,) = set(glob.glob(f"{scratch_dir(spark)}/landed-*")) - before
+    # 4,000 rows are 200 pages of 20, or 102 of 40.
+    assert 0 < sum(not f.startswith((".", "_")) for _, _, files in os.walk(landed) for f in files) <= 12

@@ -1,7 +1,8 @@
 """Landed response pages of the till's reporting feeds.
 
 One file per page: ``<root>/<dataset>/_date=2024-03-01[/_store_uid=...]/page-0001.json``; a job that lands pages may
-give each a folder ``_page=1`` instead.
+give each a folder ``_page=1`` instead. Where a file for each page would be too many, pages are landed in bundles: JSON
+lines, one page each, which names its number ``_page``.
 """
 
 from __future__ import annotations
@@ -18,16 +19,18 @@ from tillflow.schemas import RECORDS, columns
 PER_STORE = ("invoice", "removed_item")
 TIME_COLUMNS = {"invoice": ("created_at",), "order_log": ("created_at",), "removed_item": ("updated_at",)}
 FIRST_DAY = dt.date(2020, 1, 1)
+#: Pages of a bundle that follow each other.
+BUNDLE = 1024
 
 
-def page_schema(dataset: str) -> T.StructType:
+def page_schema(dataset: str, bundled: bool = False) -> T.StructType:
     """A page of records. All is read as text: feeds send times as seconds or formatted, and numbers as text too."""
     fields = [
         T.StructField(f.name, T.StringType())
         for f in RECORDS[dataset].fields
         if not (f.name == "_store_uid" and dataset in PER_STORE)
     ]
-    folders = "_date string" + (", _store_uid string" if dataset in PER_STORE else "")
+    folders = ("_page bigint, " if bundled else "") + "_date string" + (", _store_uid string" if dataset in PER_STORE else "")
     return T.StructType(
         [
             T.StructField("data", T.ArrayType(T.StructType(fields))),
@@ -45,10 +48,17 @@ def _numbered(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_page", F.when(number == "", unnumbered).otherwise(number.try_cast("bigint")))
 
 
-def read_pages(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+def write_bundles(pages: DataFrame, root: str, dataset: str) -> None:
+    """Land pages of JSON text, ``value``, in bundles: a day's or store's pages in a few files, however many there are."""
+    folders = ["_date", "_store_uid"] if dataset in PER_STORE else ["_date"]
+    lines = pages.repartition(*folders, F.floor(F.col("_page") / BUNDLE)).select(*folders, "value")
+    lines.write.partitionBy(*folders).text(f"{root}/{dataset}")
+
+
+def read_pages(spark: SparkSession, root: str, dataset: str, bundled: bool = False) -> DataFrame:
     """All pages of a feed; every store and day folder is read in parallel."""
     folder = f"{root}/{dataset}"
-    reader = spark.read.schema(page_schema(dataset)).option("multiLine", True).option("basePath", folder)
+    reader = spark.read.schema(page_schema(dataset, bundled)).option("multiLine", not bundled).option("basePath", folder)
     return _numbered(reader.json(folder))
 
 
