@@ -64,6 +64,47 @@ def test_blocks_keep_all_rows_in_order(spark):
         assert all(len(t) == most for _, t in found[:-1]) and 0 < len(found[-1][1]) <= most
 
 
+def test_wide_rows_make_blocks_of_fewer(monkeypatch):
+    monkeypatch.setattr(scan, "BLOCK_BYTES", 2_000)
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(a, a + 5)), "wide": ["w" * 100] * 5}) for a in range(0, 100, 5)]
+
+    class Context:
+        get = classmethod(lambda cls: cls)
+        partitionId = classmethod(lambda cls: 1)
+
+    found = list(scan.blocks(iter(batches), 1_000_000, Context))
+    assert [x for _, t in found for x in t.column("x").to_pylist()] == list(range(100))
+    assert [n for n, _ in found] == [(1 << 32) + i for i in range(len(found))] and len(found) >= 5
+    assert all(t.nbytes <= 2_000 + batches[0].nbytes for _, t in found)
+    groups = list(scan.whole_groups(iter(batches), ["x"], 1_000_000))
+    assert [x for t in groups for x in t.column("x").to_pylist()] == list(range(100)) and len(groups) >= 4
+    # A group that is larger than a block stays whole.
+    assert [len(t) for t in scan.whole_groups(iter(batches), ["wide"], 10)] == [100]
+
+
+def test_a_scan_over_blocks_cut_by_bytes(spark, monkeypatch):
+    rows, df = table(spark, 5)
+    wanted = [scan.Count("n"), scan.Sum("q", "after", later=True), scan.Fill("v", "v")]
+    whole = sorted(map(str, scan.scan(df, ["k"], ["seq"], wanted).collect()))
+
+    def cut(batches, most, real=scan.blocks):
+        return real((b.slice(i, 2) for b in batches for i in range(0, len(b), 2)), 3)
+
+    monkeypatch.setattr(scan, "blocks", cut)
+    assert sorted(map(str, scan.scan(df, ["k"], ["seq"], wanted).collect())) == whole
+
+
+def test_columns_that_only_order_rows_are_not_written(spark, monkeypatch):
+    rows, df = table(spark, 4)
+    wrote = []
+    monkeypatch.setattr(scan, "written", lambda d: wrote.append(d.columns) or written(d))
+    wanted = [scan.Count("n"), scan.Fill("v", "v")]
+    got = scan.scan(df, ["k"], ["seq"], wanted, drop=["seq", "q"])
+    assert not {"seq", "q", "v"} & set(wrote[0]) and not {"seq", "q"} & set(got.columns)
+    kept = scan.scan(df, ["k"], ["seq"], wanted).drop("seq", "q")
+    assert got.columns == kept.columns and sorted(map(str, got.collect())) == sorted(map(str, kept.collect()))
+
+
 def test_scans_of_one_call_share_one_write(spark, limits, monkeypatch):
     rows, df = table(spark, 3)
     writes = []
