@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tillflow.llm import decontaminate, words
+from tillflow.llm import decontaminate, jaccard, words
 from tillflow.llm.components import components
 from tillflow.llm.fmindex import FMIndex
 from tillflow.llm.jaccard import Allocation, Join, allocate, linked, near_classes
@@ -219,6 +219,54 @@ def test_near_classes_of_a_large_group_with_few_links(documents):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == classes_of(rows, 1, 90)
 
 
+@pytest.mark.parametrize("small", [2, 4, 1000])
+def test_near_classes_by_pairs_and_by_pivots(documents, random_texts, edge_rows, monkeypatch, small):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", small)
+    rows = random_texts + edge_rows
+    got = near_classes(documents(rows), Join(2, 70, band_growth=1.5)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None) == classes_of(rows, 2, 70)
+
+
+def test_unrelated_documents_are_not_verified(documents, monkeypatch):
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    near = text(200)
+    rows = [(i, text(rng.randrange(100, 400))) for i in range(300)] + [(1000, near), (1001, near + " more")]
+    seen = []
+    texts = jaccard._texts
+    monkeypatch.setattr(jaccard, "_texts", lambda docs, join, nodes: seen.append(nodes.count()) or texts(docs, join, nodes))
+    got = {r.doc_id: r.component_id for r in near_classes(documents(rows), Join(5, 80)).collect()}
+    assert got == {i: i for i, _ in rows} | {1001: 1000}
+    assert len(seen) == 1 and seen[0] <= 10
+
+
+def test_entries_of_linked_sets_meet_without_empty_segments():
+    rng = np.random.default_rng(4)
+    for join in (Join(5, 80), Join(3, 90), Join(1, 50, band_growth=2.5)):
+        for size in (1, 2, 5, 17, 60, 300, 1500):
+            band = int(join.band(np.array(size)))
+            a = jaccard.with_spare(join, band, allocate(join, band, 100))
+            tolerated = join.most_different(size)
+            for deletions in {0, min(2, a.exact // 2)}:
+                b = Allocation(a.exact - 2 * deletions, deletions, a.spare)
+                for _ in range(5):
+                    x = rng.integers(0, 2**64, size, np.uint64)
+                    gone = int(rng.integers(0, min(tolerated, size - 1) + 1))
+                    y = np.concatenate([x[gone:], rng.integers(0, 2**64, min(tolerated - gone, 1), np.uint64)])
+                    found = [set(jaccard._signatures(np.sort(s), words.mixed(np.sort(s)), band, b).tolist()) for s in (x, y)]
+                    assert found[0] & found[1]
+
+
+def test_sketches_differ_in_no_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for sizes in ((0, 3), (1, 1), (40, 64), (64, 65), (100, 300), (1000, 1100)):
+        shared = rng.integers(0, 2**64, min(sizes) // 2, np.uint64)
+        one, other = (np.concatenate([shared, rng.integers(0, 2**64, n - len(shared), np.uint64)]) for n in sizes)
+        differ = jaccard._sketches_differ(jaccard._sketch(one), jaccard._sketch(other))
+        assert differ <= sum(sizes) - 2 * len(shared) and (differ + sum(sizes)) % 2 == 0
+        assert jaccard._sketches_differ(jaccard._sketch(one), jaccard._sketch(one)) == 0
+
+
 def test_near_classes_of_nothing(documents):
     assert near_classes(documents([])).collect() == []
     assert [r.component_id for r in near_classes(documents([(4, None)])).collect()] == [4]

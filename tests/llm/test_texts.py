@@ -171,6 +171,24 @@ def test_words_of_earlier_generations_are_encoded_alike(model, monkeypatch):
         assert not known.lost and len(known.now) <= 20 + 2 * 15
 
 
+def test_words_that_come_again_take_little_memory(model):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tillflow.llm import pieces
+
+    known = pieces._Known(model)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": ["the and of to it be as on by or " * 100] * 300})
+    list(pieces._encode(known, iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    found = list(pieces._encode(known, iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in found) == 300 and all(x for b in found for x in b.column("exact").to_pylist())
+    assert peak < 100 * 300_000  # bytes for each word
+
+
 def test_summed_scores_give_the_best_segmentation():
     rng = random.Random(4)
     for _ in range(20):

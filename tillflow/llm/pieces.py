@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain, pairwise
+from itertools import count, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -211,10 +213,10 @@ class Decoder:
         return out[1:] if out.startswith(" ") else out
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     low, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
+    for i, chars in enumerate(pc.utf8_length(texts).to_pylist()):
+        size += chars or 0
         if size >= BLOCK_CHARS:
             yield low, i + 1
             low, size = i + 1, 0
@@ -222,6 +224,20 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield low, len(texts)
 
 
+def _numbered(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different words, sorted; the place among them of every word of the texts; and the words of each text. Of a word
+    that comes again only its number is held."""
+    numbers: defaultdict[str, int] = defaultdict(count().__next__)
+    found = []
+    for t in texts:
+        split = _WORDS.findall(MARK + t.replace(" ", MARK)) if t else []
+        found.append(np.fromiter(map(numbers.__getitem__, split), np.int32, len(split)))
+    words = sorted(numbers)
+    place = np.zeros(len(words), np.int64)
+    place[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
+    return words, place[np.concatenate(found)], np.array([len(x) for x in found])
+
+
 class _Known:
     """Encodings of words that come again: those used since the last change of generation, and those of the generation
     before. The few that decoding doesn't give back are listed."""
@@ -267,28 +283,25 @@ def _known(name: str, model: tuple) -> _Known:
 
 def _encode(known: _Known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for low, high in _blocks(texts):
-            split = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[low:high]]
-            numbers = {w: i for i, w in enumerate(sorted(set().union(*split)))}
-            encoded = known.of(list(numbers))
+        for low, high in _blocks(batch.column("text")):
+            texts = batch.column("text").slice(low, high - low).to_pylist()
+            words, word, of_text = _numbered(texts)
+            encoded = known.of(words)
             lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
             flat = np.frombuffer(b"".join(encoded), np.int32)
             first = np.concatenate([[0], np.cumsum(lengths)])
             # Where each document's ids come from: runs of the flat array, word by word.
-            word = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
-            count = lengths[word]
-            until = np.cumsum(count)
-            ids = flat[np.repeat(first[word] - (until - count), count) + np.arange(int(until[-1]) if len(until) else 0)]
-            words_until = np.cumsum([0, *map(len, split)])
+            number = lengths[word]
+            until = np.cumsum(number)
+            ids = flat[np.repeat(first[word] - (until - number), number) + np.arange(int(until[-1]) if len(until) else 0)]
+            words_until = np.concatenate([[0], np.cumsum(of_text)])
             offsets = np.concatenate([[0], until])[words_until].astype(np.int32)
             # A text whose words all come back comes back, unless it holds the mark itself. Others are decoded.
-            lost = np.zeros(len(numbers), np.int64)
-            lost[[numbers[w] for w in known.lost if w in numbers]] = 1
+            lost = np.fromiter(map(known.lost.__contains__, words), np.int64, len(words))
             lost = np.diff(np.concatenate([[0], np.cumsum(lost[word])])[words_until])
             exact = [
                 t is None or (not n and MARK not in t) or known.decoder.decode(ids[a:b].tolist()) == t
-                for t, n, a, b in zip(texts[low:high], lost.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                for t, n, a, b in zip(texts, lost.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
             ]
             rest = batch.drop_columns(["text"]).slice(low, high - low)
             yield pa.RecordBatch.from_arrays(
