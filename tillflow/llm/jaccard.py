@@ -20,6 +20,8 @@ from tillflow.session import written
 #: Shingles are counted by slots of a table of 2**COUNTER_BITS counters; the counts only order the verification.
 COUNTER_BITS = 20
 COUNTER_BLOCK = 1 << 12
+#: Bytes of text whose sets are made at once.
+SET_BYTES = 1 << 18
 #: In buckets of so many sets all pairs are compared, in larger ones all sets with a pivot.
 SMALL_BUCKET = 32
 
@@ -125,7 +127,7 @@ def _sets(join: Join, batches: Iterator[pa.RecordBatch], row: Callable) -> Itera
     """Applies ``row(doc_id, set)`` to the sorted distinct shingle hashes of every text; yields its results."""
     for batch in batches:
         ids = batch.column("doc_id")
-        for chunk in chunks(batch.column("text")):
+        for chunk in chunks(batch.column("text"), SET_BYTES):
             found = words(chunk, NOT_SPACE)
             runs = shingles(found.hashes, join.n)
             rows = []
