@@ -322,6 +322,40 @@ def test_disclosing_words_in_whole_texts(documents):
     assert by_id[None] == by_id[100] and [len(want(t)) for t in texts] == [3, 1, 1, 1, 1]
 
 
+def terms_of_whole_texts(rows, rule):
+    """Entities and the words that disclose them, by plain loops over different whole texts."""
+    texts = {}
+    for text in {t or "" for _, t in rows}:
+        spans = base_of(text)
+        words = [m for m in re.finditer(r"[^\W_]+", text) if len(m[0]) >= rule.shortest and not any(m.start() <= b and a <= m.end() for a, _, b, _ in spans)]
+        texts[text] = {(s[1], s[3]) for s in spans}, {m[0].lower() for m in words}
+    n, n_e, n_w = len(texts), Counter(e for es, _ in texts.values() for e in es), Counter(w for _, ws in texts.values() for w in ws)
+    n_ew = Counter((e, w) for es, ws in texts.values() for e in es for w in ws)
+    reaches = lambda e, w: np.log(n_ew[e, w] * n / (n_e[e] * n_w[w])) >= rule.threshold * np.log(n / n_e[e]) > 0
+    return {(e, w) for (e, w), k in n_ew.items() if k >= rule.support and reaches(e, w)}
+
+
+def test_disclosing_words_are_counted_in_whole_texts(documents):
+    rng = random.Random(8)
+    far = " and so on" * 30
+    rows = [(i, f"Ludwig and Clara, {i}{far} anna@example.org") for i in range(4)]  # far from the address
+    rows += [(10 + i, f"Clara spoke about {rng.random()}") for i in range(40)]  # often in texts without it
+    rows += [(60 + i, f"anna@example.org, x{i}@example.net{far}: Otto {i}") for i in range(3)]  # behind another address
+    rows += [(70 + i, f"Hedwig{far} carl@example.org") for i in range(5)]  # copies are one text
+    rows += [(80 + i, f"about{far} {i} emil@example.org, éTheodor@example.org \uE000Hugo ") for i in range(3)] + [(None, None), (90, "")]
+    rule = pii.Disclosure()
+    disclosing = terms_of_whole_texts(rows, rule)
+    assert {w for _, w in disclosing} == {"ludwig", "otto", "hugo"} and not any(terms_of(rows, rule).values())
+
+    def want(text):
+        spans = base_of(text or "")
+        words = {w for e, w in disclosing if e in {(s[1], s[3]) for s in spans}}
+        return [(m.start(), pii.KINDS.index("term"), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", text or "") if m[0].lower() in words]
+
+    got = [(str(r.doc_id), [tuple(s) for s in r.spans if s.kind == pii.KINDS.index("term")]) for r in pii.find_personal_data(documents(rows), rule).collect()]
+    assert sorted(got) == sorted((str(i), want(t)) for i, t in rows)
+
+
 def test_personal_data_of_nothing(documents):
     assert pii.find_personal_data(documents([])).collect() == []
 
