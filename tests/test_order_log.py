@@ -9,6 +9,7 @@ import pytest
 from test_replay import simulate
 
 from tillflow.options import GroupLimits, Options
+from tillflow.plans import order_log
 from tillflow.plans.order_log import cancellations, final_lines
 
 T0 = dt.datetime(2024, 2, 28, 22, 0)
@@ -189,6 +190,28 @@ def test_random_logs_with_cut_groups(spark, small_limits, seed):
     assert run(spark, log, small_limits) == model(log)
 
 
+def test_only_rows_that_tell_or_ask_are_ordered_for_links(spark, monkeypatch):
+    change = lambda i, bill, type_="SALE_CHANGE", note=None: dict(
+        seq=i, time=T0 + dt.timedelta(minutes=i), id=bill, number=f"N{bill}", type=type_, note=note, items=[("tea", 1)]
+    )
+    log = [change(i, "B1") for i in range(40)] + [change(40, "B1", "SALE_MERGE_ORDER", MERGED.format("B2"))]
+    log += [change(50 + i, "B2") for i in range(40)] + [change(100, "B2", "SALE_SPLIT_ORDER", SPLIT_OFF.format("C2"))]
+    log += [change(101, "C2", "SALE_SPLIT_ORDER", NEW)]
+    ordered, real = [], order_log.fill
+    monkeypatch.setattr(order_log, "fill", lambda df, *args, **kwargs: ordered.append(df.count()) or real(df, *args, **kwargs))
+    assert run(spark, log) == model(log)
+    assert len(ordered) == 2 and max(ordered) < 10
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_columns_that_are_not_asked_for(spark, seed):
+    log = landed(spark, random_log(20 + seed))
+    unused = ["log_table", "origin_id", "note", "line_no", "kind", "revenue", "root", "at_end", "emit", "line_at"]
+    whole, some = final_lines(log), final_lines(log, drop=unused)
+    assert sorted(some.columns) == sorted(set(whole.columns) - set(unused))
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.select(some.columns).collect()))
+
+
 def test_python_literal_payload(spark):
     cell = "{'tran_id': 'X', 'tran_no': 'N', 'extra_data': {'message_modify_table': None}, " \
            "'sale_detail': [{'item_name': \"O'Tea\", 'price': 2, 'quantity': 3, 'toppings': None}]}"

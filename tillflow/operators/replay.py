@@ -299,11 +299,11 @@ def _results(
         F.col("child_no").alias("_to_number"),
         place().alias("emit"),
     )
-    pieces = pieces.withColumn("qty", F.col("units") / PARTS)
-    pieces = pieces.join(ordered, (F.col("seq") == F.col("_seq")) & (F.col("line_no") == F.col("_line")))
-    # What is left has no event.
-    pieces = lookup(pieces, events, ["event_seq", "event_line"], "left", limits, nulls_match=False)
     taken = F.col("piece") == TAKEN
+    # What is left has no event.
+    went = lookup(pieces.where(taken), events, ["event_seq", "event_line"], "left", limits, nulls_match=False)
+    pieces = went.unionByName(pieces.where(~taken), allowMissingColumns=True).withColumn("qty", F.col("units") / PARTS)
+    pieces = pieces.join(ordered, (F.col("seq") == F.col("_seq")) & (F.col("line_no") == F.col("_line")))
     pieces = pieces.withColumns(
         {
             "id": F.when(taken, F.col("_to_id")).otherwise(F.col("id")),

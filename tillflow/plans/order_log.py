@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tillflow.functions import notes
 from tillflow.functions import scalars as s
 from tillflow.operators import chains, nested
 from tillflow.operators.groups import lookup
-from tillflow.operators.ordered import fill, net_latest_first, occurrence_number
+from tillflow.operators.ordered import fill, last_value, net_latest_first, occurrence_number
 from tillflow.operators.replay import replay_splits
 from tillflow.options import Options
 from tillflow.session import written
@@ -18,6 +20,8 @@ from tillflow.session import written
 # A line's place in its own bill; with the columns before it, the order in which ties resolve.
 PLACE = ["seq", "line_no"]
 FAMILY_ORDER = ["time", "suffix", "number", "source_no"]
+# Columns of the flat log that the steps up to the final lines read.
+READ = ["seq", "time", "log_type", "id", "number", "note", "line_no", "item", "price", "qty"]
 
 
 def flat_log(log: DataFrame, literal_payload: bool = False) -> DataFrame:
@@ -62,11 +66,16 @@ def follow_merges(lines: DataFrame, options: Options) -> DataFrame:
     """Give the lines of merged bills the id and number of the bill they ended up on."""
     limits = options.limits
     order = ["time", *PLACE]
-    df = with_types(lines, "number", "log_type", [o.MERGE, o.SPLIT], options)
-    df = df.withColumn("target", notes.merged_into(F.col("note")))
-    df = fill(df, ["number"], order, ["target"], limits=limits).where(~notes.is_merge_note(F.col("note")))
     seen = ["number", *order]
-    links = chains.latest_links(df, "id", "target", seen)
+    df = with_types(lines, "number", "log_type", [o.MERGE, o.SPLIT], options)
+    df = written(df.withColumn("target", notes.merged_into(F.col("note"))))
+    named = df.where(F.col("target").isNotNull()).select(*seen, "target", F.lit(0).alias("_asks"))
+    df = df.where(~notes.is_merge_note(F.col("note")))
+    # The last row of a bill says where it went. It takes that from the rows that name a bill; no others are ordered.
+    last = df.where(F.col("id").isNotNull()).groupBy("id").agg(last_value(F.struct(*seen, "target"), seen).alias("_last"))
+    asking = last.select("id", "_last.*", F.lit(1).alias("_asks"))
+    told = fill(asking.unionByName(named, allowMissingColumns=True), ["number"], [*order, "_asks"], ["target"], limits=limits)
+    links = chains.latest_links(told, "id", "target", seen)
     df = chains.with_end(df, "id", links, "end", limits)
     numbers = chains.first_number(df, "id", "number", seen).withColumnsRenamed({"id": "end", "number": "_number"})
     df = lookup(df, numbers, ["end"], "left", limits)
@@ -82,20 +91,26 @@ def split_families(merged: DataFrame, options: Options) -> DataFrame:
     """Log rows of split bills with root, child id and child number, ready for the replay."""
     limits = options.limits
     before = ["time", "number", "source_no", *PLACE]
+    is_split = F.coalesce(F.col("log_type") == o.SPLIT, F.lit(False))
     df = with_types(merged, "number", "log_type", [o.SPLIT], options)
     df = df.withColumn("child_id", notes.split_into(F.col("note")))
-    df = fill(df, ["id"], before, ["child_id"], limits=limits)
-    df = df.withColumn("child_id", F.when(F.col("log_type") == o.SPLIT, F.col("child_id")))
-    links = chains.latest_new_links(df, "child_id", "id", before)
+    # Split rows take a child id from the rows that name one; no others are ordered.
+    concerned = is_split | F.col("child_id").isNotNull()
+    named = fill(df.where(concerned), ["id"], before, ["child_id"], limits=limits)
+    named = named.withColumn("child_id", F.when(is_split, F.col("child_id")))
+    links = chains.latest_new_links(named, "child_id", "id", before)
     links = links.select("child_id", F.col("id").alias("parent_id"))
-    df = written(chains.with_end(df, "id", links, "root", limits))
+    df = written(chains.with_end(df.where(~concerned).unionByName(named), "id", links, "root", limits))
     numbers = chains.last_number(df, "id", "number", ["time", "root", "number", "source_no", *PLACE])
     numbers = numbers.withColumnsRenamed({"id": "child_id", "number": "child_no"})
-    df = lookup(df, numbers.where(F.col("child_id").isNotNull()), ["child_id"], "left", limits)
-    is_split = F.col("log_type") == o.SPLIT
+    has_child = F.col("child_id").isNotNull()
+    splits = written(lookup(df.where(has_child), numbers, ["child_id"], "left", limits, nulls_match=False))
+    none = F.lit(None).cast("string")
+    df = df.where(~has_child).withColumns({"child_id": none, "child_no": none}).unionByName(splits)
     df = df.withColumn("child_no", F.when(is_split, F.col("child_no")))
     df = df.where(~(is_split & F.col("child_no").isNull()) & ~notes.is_new_bill_note(F.col("note")))
     text = ["employee", "log_store_uid", "id", "number", "log_table", "note", "unit", "origin_id", "child_id", "child_no"]
+    text = [c for c in text if c in df.columns]
     return df.withColumns(
         {
             "suffix": s.sort_suffix(F.col("child_id")),
@@ -106,11 +121,16 @@ def split_families(merged: DataFrame, options: Options) -> DataFrame:
     )
 
 
-def final_lines(log: DataFrame, options: Options | None = None, literal_payload: bool = False) -> DataFrame:
-    """The lines that were finally ordered, with calendar columns and occurrence ``mark``."""
+def final_lines(
+    log: DataFrame, options: Options | None = None, literal_payload: bool = False, drop: Sequence[str] = ()
+) -> DataFrame:
+    """The lines that were finally ordered, with calendar columns and occurrence ``mark``.
+
+    Columns to ``drop`` are not carried along; what a step reads goes after the last step that does.
+    """
     options = options or Options()
     limits = options.limits
-    lines = written(flat_log(log, literal_payload))
+    lines = written(flat_log(log, literal_payload).drop(*[c for c in drop if c not in READ]))
     merged = written(follow_merges(lines, options))
     replayed = replay_splits(split_families(merged, options), FAMILY_ORDER, limits).withColumn("branch", F.lit(1))
 
@@ -122,15 +142,16 @@ def final_lines(log: DataFrame, options: Options | None = None, literal_payload:
     plain = plain.withColumn("suffix", s.sort_suffix(F.lit(None).cast("string"))).withColumns(
         {"branch": F.lit(2), "at_end": F.lit(0), "line_at": F.struct(*FAMILY_ORDER, *PLACE)}
     )
-    df = replayed.unionByName(plain, allowMissingColumns=True).drop("suffix", "source_no")
-    df = df.withColumn("time", s.to_minute(F.col("time"))).withColumns(s.calendar(F.col("time")))
-    df = written(df.withColumn("qty", s.number_or_zero(F.col("qty"))))
     ties = ["time", "branch", "root", "at_end", "emit", "line_at"]
+    df = replayed.unionByName(plain, allowMissingColumns=True).drop("suffix", "source_no")
+    df = df.drop(*[c for c in drop if c not in (*ties, "price", "qty", "id", "item")])
+    df = written(df.withColumns({"time": s.to_minute(F.col("time")), "qty": s.number_or_zero(F.col("qty"))}))
     df = net_latest_first(df, ["id", "item"], ties, "qty", limits)
     if options.reprice_after_netting:
         df = df.withColumn("revenue", F.col("price") * F.col("qty"))
-    df = occurrence_number(df, ["id", "item", "qty"], ties, limits=limits)
-    return df.where(~s.has_no_topping_mark(F.col("item")))
+    df = occurrence_number(df, ["id", "item", "qty"], ties, limits=limits, drop=[c for c in drop if c in ties and c != "time"])
+    # Made at the end, as they follow from the time.
+    return df.where(~s.has_no_topping_mark(F.col("item"))).withColumns(s.calendar(F.col("time")))
 
 
 def cancellations(removed: DataFrame, literal_payload: bool = False) -> DataFrame:
