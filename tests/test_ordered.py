@@ -105,6 +105,19 @@ def test_columns_that_only_order_rows_are_not_written(spark, monkeypatch):
     assert got.columns == kept.columns and sorted(map(str, got.collect())) == sorted(map(str, kept.collect()))
 
 
+def test_netted_rows_keep_their_place_without_what_ordered_them(spark, limits, monkeypatch):
+    rows, df = table(spark, 6)
+    wrote = []
+    monkeypatch.setattr(scan, "written", lambda d: wrote.append(d.columns) or written(d))
+    got = ordered.net_latest_first(df, ["k"], ["t", "seq"], "q", limits, ["t"], "place")
+    assert not {"t", "_lost"} & set(wrote[0]) and "t" not in got.columns
+    whole = {r["seq"]: (r["q"], r["t"]) for r in ordered.net_latest_first(df, ["k"], ["t", "seq"], "q", limits).collect()}
+    found = got.collect()
+    assert {r["seq"]: r["q"] for r in found} == {seq: q for seq, (q, _) in whole.items()}
+    by_place = sorted(found, key=lambda r: (str(r["k"]), r["place"]))
+    assert [r["seq"] for r in by_place] == [r["seq"] for r in sorted(found, key=lambda r: (str(r["k"]), whole[r["seq"]][1], r["seq"]))]
+
+
 def test_scans_of_one_call_share_one_write(spark, limits, monkeypatch):
     rows, df = table(spark, 3)
     writes = []

@@ -146,10 +146,12 @@ def final_lines(
     df = replayed.unionByName(plain, allowMissingColumns=True).drop("suffix", "source_no")
     df = df.drop(*[c for c in drop if c not in (*ties, "price", "qty", "id", "item")])
     df = written(df.withColumns({"time": s.to_minute(F.col("time")), "qty": s.number_or_zero(F.col("qty"))}))
-    df = net_latest_first(df, ["id", "item"], ties, "qty", limits)
+    # Within a bill's item the order is found once.
+    unused = [c for c in drop if c in ties and c != "time"]
+    df = net_latest_first(df, ["id", "item"], ties, "qty", limits, unused, "_place")
     if options.reprice_after_netting:
         df = df.withColumn("revenue", F.col("price") * F.col("qty"))
-    df = occurrence_number(df, ["id", "item", "qty"], ties, limits=limits, drop=[c for c in drop if c in ties and c != "time"])
+    df = occurrence_number(df, ["id", "item", "qty"], ["_place"], limits=limits, drop=["_place"])
     # Made at the end, as they follow from the time.
     return df.where(~s.has_no_topping_mark(F.col("item"))).withColumns(s.calendar(F.col("time")))
 
