@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from table_queries import compare
+from table_queries import compare, queries
 from table_queries.oracle import SQL
 from table_queries.queries import OPTIONS, REGISTERED
 from tillflow.options import GroupLimits
@@ -53,6 +53,15 @@ def test_query_with_cut_groups(spark, con, monkeypatch, name):
         object.__setattr__(OPTIONS, "limits", before)
 
 
+def test_lines_are_numbered_before_texts_and_places_are_added(spark, monkeypatch):
+    """What is numbered is dealt out whole, so it should be narrow."""
+    numbered, real = [], queries.occurrence_number
+    monkeypatch.setattr(queries, "occurrence_number", lambda df, *args, **kwargs: numbered.append(dict(df.dtypes)) or real(df, *args, **kwargs))
+    assert queries.match_residuals(spark, SF_DIR).count() > 0
+    assert len(numbered) == 2 and not any(t.startswith("struct") for types in numbered for t in types.values())
+    assert not any({"id", "number", "phone", "customer_class"} & set(types) for types in numbered)
+
+
 @pytest.mark.parametrize("name", list(SQL))
 def test_types_agree_with_sql(spark, con, name):
     """The hash of a result depends on its types, so they must be of one kind on both sides."""
